@@ -6,7 +6,10 @@ twelve digits so that they stay unique at any scale.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 STUDENT_ID = "^S-[0-9]{12}$"
 
@@ -53,9 +56,16 @@ WHERE event_type IN ('purchase', 'signup')
 SOURCES = {"students": RAW_STUDENTS, "attendance": RAW_ATTENDANCE, "assessments": RAW_ASSESSMENTS}
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Footers are read once per table, not once per query."""
+    return spark.read.parquet(path).schema
+
+
 def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     table = "customer" if entity == "students" else "events"
-    return spark.sql(SOURCES[entity], **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    path = f"{sf_dir}/{table}.parquet"
+    return spark.sql(SOURCES[entity], **{table: spark.read.schema(_schema(spark, path)).parquet(path)})
 
 
 def enrolled_students(students: DataFrame) -> DataFrame:

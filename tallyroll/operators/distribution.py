@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroll.functions.numbers import round_half_even, text_mean
@@ -15,47 +16,37 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFra
     """Counts of ``bins`` equal-width bins between the smallest and largest value.
 
     Bins are closed on the left, the last one on both sides; empty bins are
-    kept. Values are counted per bin on the map side. The overall mean is
-    repeated on every row.
+    kept. A first pass finds the range and the mean, which is one row; values
+    are then counted per bin on the map side. The overall mean is repeated on
+    every row.
     """
-    values = df.select(F.col(column).cast("double").alias("x"), F.col(column).alias("_raw")).where("x is not null")
-    low, high = F.min("x"), F.max("x")
-    flat = low == high
-    span = values.agg(
-        F.when(flat, low - 0.5).otherwise(low).alias("lo"),
-        F.when(flat, high + 0.5).otherwise(high).alias("hi"),
-        text_mean(F.col("_raw")).alias("mean"),
-    )
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    x = F.col(column).cast("double")
+    low, high, mean = df.agg(F.min(x), F.max(x), text_mean(F.col(column))).first()
+    if low == high and low is not None:
+        low, high = low - 0.5, high + 0.5
+    lo, hi = F.lit(low).cast("double"), F.lit(high).cast("double")
+    step = (hi - lo) / F.lit(float(bins))
 
-    ranged = values.select("x", lo.alias("lo"), hi.alias("hi"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    guess = F.least(F.floor((F.col("x") - F.col("lo")) / step), F.lit(bins - 1)).cast("int")
+    def left_edge(number: Column) -> Column:
+        return number * step + lo
+
+    guess = F.least(F.floor((F.col("x") - lo) / step), F.lit(bins - 1)).cast("int")
     # The division can land one bin off; the edges decide.
-    placed = (
-        ranged.withColumn("guess", guess)
-        .withColumn("left", F.col("guess") * step + F.col("lo"))
-        .withColumn("right", (F.col("guess") + 1) * step + F.col("lo"))
-        .select(
-            F.when(F.col("x") < F.col("left"), F.col("guess") - 1)
-            .when((F.col("x") >= F.col("right")) & (F.col("guess") < bins - 1), F.col("guess") + 1)
-            .otherwise(F.col("guess"))
-            .alias("bin")
-        )
+    exact = (
+        F.when(F.col("x") < left_edge(F.col("guess")), F.col("guess") - 1)
+        .when((F.col("x") >= left_edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1), F.col("guess") + 1)
+        .otherwise(F.col("guess"))
     )
-    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("value_count"))
+    values = df.select(x.alias("x")).where("x is not null").withColumn("guess", guess)
+    counts = values.groupBy(exact.alias("bin")).agg(F.count(F.lit(1)).alias("value_count"))
 
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / F.lit(float(bins))
-    return (
-        spine.join(counts, "bin", "left")
-        .select(
-            "bin",
-            (F.col("bin") * width + lo).alias("lower_edge"),
-            F.when(F.col("bin") == bins - 1, hi).otherwise((F.col("bin") + 1) * width + lo).alias("upper_edge"),
-            F.coalesce("value_count", F.lit(0)).cast("long").alias("value_count"),
-            span.select("mean").scalar().alias("overall_mean"),
-        )
+    return spine.join(counts, "bin", "left").select(
+        "bin",
+        left_edge(F.col("bin")).alias("lower_edge"),
+        F.when(F.col("bin") == bins - 1, hi).otherwise(left_edge(F.col("bin") + 1)).alias("upper_edge"),
+        F.coalesce("value_count", F.lit(0)).cast("long").alias("value_count"),
+        F.lit(mean).cast("double").alias("overall_mean"),
     )
 
 
@@ -86,32 +77,22 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
     Equal values are counted first, so a value held by a third of the rows is
     one row; ranks come from ``running_total`` and no task sees all values.
     """
-    spark: SparkSession = df.sparkSession
     counted = (
         df.select(F.col(column).cast("double").alias("x"))
         .where("x is not null")
         .groupBy("x")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_total(counted, "x", "n", "last_rank").select(
-        "x", (F.col("last_rank") - F.col("n")).alias("first_rank"), F.col("last_rank")
-    )
-    total = ranked.agg(F.max("last_rank")).scalar()
-
-    picks = []
-    for p in probabilities:
-        at = F.lit(float(p)) * (total - 1)
-        low, high = F.floor(at), F.ceil(at)
-        holds = lambda rank: (F.col("first_rank") <= rank) & (F.col("last_rank") > rank)
-        picks += [
-            F.max(F.when(holds(low), F.col("x"))).alias(f"low_{len(picks)}"),
-            F.max(F.when(holds(high), F.col("x"))).alias(f"high_{len(picks)}"),
-            F.max(at - low).alias(f"part_{len(picks)}"),
-        ]
-    one_row = ranked.agg(*picks)
-    parts = ", ".join(f"{float(p)}D, low_{3 * i}, high_{3 * i}, part_{3 * i}" for i, p in enumerate(probabilities))
-    wide = one_row.selectExpr(f"stack({len(probabilities)}, {parts}) as (probability, low, high, part)")
-    return wide.select("probability", (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("quantile"))
+    ranked = running_total(counted, "x", "n", "last_rank")
+    total = ranked.agg(F.max("last_rank")).first()[0] or 0
+
+    picks, rows = [], []
+    for i, p in enumerate(probabilities):
+        at = p * max(total - 1, 0)
+        for side, rank in (("low", math.floor(at)), ("high", math.ceil(at))):
+            picks.append(F.expr(f"max(case when last_rank - n <= {rank} and last_rank > {rank} then x end) as {side}_{i}"))
+        rows.append(f"{float(p)}D, low_{i} + (high_{i} - low_{i}) * {at - math.floor(at)}D")
+    return ranked.agg(*picks).selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (probability, quantile)")
 
 
 def describe_numbers(df: DataFrame, column: str, digits: int = 2) -> DataFrame:

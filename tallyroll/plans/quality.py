@@ -163,21 +163,24 @@ def contract_rules(contract: Contract) -> list[Rule]:
 
 def broken_row_counts(rules: Sequence[Rule]) -> list:
     """One count per row rule, fit for ``agg`` and for ``observe``."""
-    return [F.count_if(F.expr(r.broken)).alias(f"broken_{i}") for i, r in enumerate(rules) if r.broken is not None]
+    return [F.expr(f"count_if({r.broken}) as broken_{i}") for i, r in enumerate(rules) if r.broken is not None]
+
+
+def _labels(rule: Rule, seq: int) -> str:
+    return f"{seq}, {_quoted(rule.name)}, {_quoted(rule.kind)}, {_quoted(rule.column)}"
 
 
 def _uniqueness(df: DataFrame, rule: Rule, seq: int) -> DataFrame:
     columns = rule.column.split(",")
-    keyed = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    judged = F.col("n") > 1
-    if not rule.nulls_repeat:
-        for c in columns:
-            judged &= F.col(c).isNotNull()
-    return keyed.agg(
-        F.lit(seq).alias("seq"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("checked_rows"),
-        F.coalesce(F.sum(F.when(judged, F.col("n"))), F.lit(0)).cast("long").alias("failed_rows"),
+    judged = " and ".join(["n > 1"] + ([] if rule.nulls_repeat else [f"{c} is not null" for c in columns]))
+    counted = df.groupBy(*columns).agg(F.expr("count(1) as n"))
+    totals = counted.agg(
+        F.expr("coalesce(sum(n), 0L) as checked_rows"), F.expr(f"coalesce(sum(n) filter (where {judged}), 0L) as failed_rows")
     )
+    return totals.selectExpr("checked_rows", f"stack(1, {_labels(rule, seq)}, failed_rows) as {_RESULT}")
+
+
+_RESULT = "(seq, rule, expectation, column_name, failed_rows)"
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -185,40 +188,27 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     row_rules = [(i, r) for i, r in enumerate(rules) if r.broken is not None]
     pieces = []
     if row_rules:
-        counts = df.agg(F.count(F.lit(1)).alias("checked_rows"), *broken_row_counts(rules))
-        stacked = ", ".join(f"{i}, broken_{i}" for i, _ in row_rules)
-        pieces.append(
-            counts.selectExpr("checked_rows", f"stack({len(row_rules)}, {stacked}) as (seq, failed_rows)").select(
-                "seq", "checked_rows", "failed_rows"
-            )
-        )
+        counts = df.agg(F.expr("count(1) as checked_rows"), *broken_row_counts(rules))
+        stacked = ", ".join(f"{_labels(r, i)}, broken_{i}" for i, r in row_rules)
+        pieces.append(counts.selectExpr("checked_rows", f"stack({len(row_rules)}, {stacked}) as {_RESULT}"))
     pieces += [_uniqueness(df, r, i) for i, r in enumerate(rules) if r.broken is None]
-    counted = reduce(DataFrame.unionByName, pieces)
-
-    label = lambda field: F.element_at(F.array(*[F.lit(getattr(r, field)) for r in rules]), F.col("seq") + 1)
-    return counted.select(
-        "seq",
-        label("name").alias("rule"),
-        label("kind").alias("expectation"),
-        label("column").alias("column_name"),
-        "checked_rows",
-        "failed_rows",
-        (F.col("failed_rows") == 0).alias("success"),
+    return reduce(DataFrame.unionByName, pieces).selectExpr(
+        "seq", "rule", "expectation", "column_name", "checked_rows", "failed_rows", "failed_rows = 0 as success"
     )
 
 
 def summarise(results: DataFrame, engine: str = "primary") -> DataFrame:
     """One row for a whole suite; the failed list keeps the order of the rules."""
     reported = "expectation" if engine == "primary" else "rule"
-    failed = F.array_sort(F.collect_list(F.when(~F.col("success"), F.struct("seq", F.col(reported).alias("name")))))
+    failed = f"array_sort(collect_list(if(success, null, struct(seq, {reported} as name))))"
     return results.agg(
-        (F.count_if(~F.col("success")) == 0).alias("success"),
-        F.count(F.lit(1)).alias("evaluated_expectations"),
-        F.count_if(F.col("success")).alias("successful_expectations"),
-        F.count_if(~F.col("success")).alias("unsuccessful_expectations"),
-        F.max("checked_rows").alias("checked_rows"),
-        failed.getField("name").alias("failed_expectations"),
-        F.lit(engine).alias("engine"),
+        F.expr("count_if(not success) = 0 as success"),
+        F.expr("count(1) as evaluated_expectations"),
+        F.expr("count_if(success) as successful_expectations"),
+        F.expr("count_if(not success) as unsuccessful_expectations"),
+        F.expr("max(checked_rows) as checked_rows"),
+        F.expr(f"{failed}.name as failed_expectations"),
+        F.expr(f"{_quoted(engine)} as engine"),
     )
 
 

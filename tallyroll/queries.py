@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce, wraps
+from functools import cached_property, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from tallyroll.schemas import (
     FACT_ATTENDANCE,
     SOURCE_FILES,
 )
+from tallyroll.session import ensure_checkpoint_dir
 from tallyroll.sources.files import with_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,33 +62,43 @@ class _Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
+        self._silver: dict[str, DataFrame] = {}
 
     def raw(self, entity: str) -> DataFrame:
-        return fixtures.raw(self.spark, self.sf_dir, entity)
+        if entity not in self._raw:
+            self._raw[entity] = fixtures.raw(self.spark, self.sf_dir, entity)
+        return self._raw[entity]
 
     def rules(self, entity: str) -> list[quality.Rule]:
         return quality.primary_suite(entity, student_id=fixtures.STUDENT_ID)
 
     def silver(self, entity: str) -> DataFrame:
-        return SILVER[entity](self.raw(entity))
+        if entity not in self._silver:
+            self._silver[entity] = SILVER[entity](self.raw(entity))
+        return self._silver[entity]
 
     def judged_silver(self, entity: str) -> DataFrame:
         raw = self.raw(entity)
         return SILVER[entity](raw, quality.passed(raw, self.rules(entity)))
 
+    @cached_property
     def dim(self) -> DataFrame:
         return gold.typed(gold.dim_students(self.silver("students")), DIM_STUDENTS)
 
+    @cached_property
     def attendance(self) -> DataFrame:
         fact = gold.fact_attendance(self.silver("attendance"), self.silver("students"))
         return gold.typed(fact, FACT_ATTENDANCE)
 
+    @cached_property
     def assessments(self) -> DataFrame:
         fact = gold.fact_assessments(self.silver("assessments"), self.silver("students"))
         return gold.typed(fact, FACT_ASSESSMENTS)
 
+    @cached_property
     def mart(self) -> DataFrame:
-        return mart.class_daily_performance(self.dim(), self.attendance(), self.assessments())
+        return mart.class_daily_performance(self.dim, self.attendance, self.assessments)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -203,17 +214,17 @@ def ge_passed_rollup(spark, sf_dir):
 # --- Gold -------------------------------------------------------------------
 @query
 def gold_dim_students(spark, sf_dir):
-    return _Tables(spark, sf_dir).dim().drop("_ingested_at")
+    return _Tables(spark, sf_dir).dim.drop("_ingested_at")
 
 
 @query
 def gold_fact_attendance(spark, sf_dir):
-    return _Tables(spark, sf_dir).attendance().drop("_ingested_at")
+    return _Tables(spark, sf_dir).attendance.drop("_ingested_at")
 
 
 @query
 def gold_fact_assessments(spark, sf_dir):
-    return _Tables(spark, sf_dir).assessments().drop("_ingested_at")
+    return _Tables(spark, sf_dir).assessments.drop("_ingested_at")
 
 
 @query
@@ -255,10 +266,10 @@ def gold_reload_or_keep(spark, sf_dir):
 def gold_row_counts(spark, sf_dir):
     t = _Tables(spark, sf_dir)
     tables = {
-        "dim_students": t.dim(),
-        "fact_attendance": t.attendance(),
-        "fact_assessments": t.assessments(),
-        "mart_class_daily_performance": t.mart(),
+        "dim_students": t.dim,
+        "fact_attendance": t.attendance,
+        "fact_assessments": t.assessments,
+        "mart_class_daily_performance": t.mart,
     }
     return _union(
         [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, df in tables.items()]
@@ -268,47 +279,51 @@ def gold_row_counts(spark, sf_dir):
 # --- mart -------------------------------------------------------------------
 @query
 def mart_class_students(spark, sf_dir):
-    return mart.class_sizes(_Tables(spark, sf_dir).dim())
+    return mart.class_sizes(_Tables(spark, sf_dir).dim)
 
 
 @query
 def mart_attendance_agg(spark, sf_dir):
-    return mart.attendance_by_class_day(_Tables(spark, sf_dir).attendance())
+    return mart.attendance_by_class_day(_Tables(spark, sf_dir).attendance)
 
 
 @query
 def mart_assessment_agg(spark, sf_dir):
-    return mart.assessments_by_class_day(_Tables(spark, sf_dir).assessments())
+    return mart.assessments_by_class_day(_Tables(spark, sf_dir).assessments)
 
 
 @query
 def mart_activity_keys(spark, sf_dir):
     t = _Tables(spark, sf_dir)
     return mart.activity_keys(
-        t.attendance().select("class_id", F.col("attendance_date").alias("date")),
-        t.assessments().select("class_id", F.col("assessment_date").alias("date")),
+        t.attendance.select("class_id", F.col("attendance_date").alias("date")),
+        t.assessments.select("class_id", F.col("assessment_date").alias("date")),
     )
 
 
 @query
 def mart_class_daily_performance(spark, sf_dir):
-    return _Tables(spark, sf_dir).mart().drop("_computed_at")
+    return _Tables(spark, sf_dir).mart.drop("_computed_at")
 
 
 @query
 def mart_upsert(spark, sf_dir):
-    """An attendance-only mart, then the full mart from one day on."""
+    """An attendance-only mart, then the full mart from one day on.
+
+    The merge reads the new rows twice, so they are checkpointed first.
+    """
     t = _Tables(spark, sf_dir)
-    no_assessments = t.assessments().where(F.lit(False))
-    first = mart.class_daily_performance(t.dim(), t.attendance(), no_assessments).drop("_computed_at")
-    rerun = t.mart().drop("_computed_at").where(F.col("date") >= F.lit(DAY).cast("date"))
-    return upsert(first, rerun, ["class_id", "date"])
+    no_assessments = t.assessments.where(F.lit(False))
+    first = mart.class_daily_performance(t.dim, t.attendance, no_assessments).drop("_computed_at")
+    rerun = t.mart.drop("_computed_at").where(F.col("date") >= F.lit(DAY).cast("date"))
+    ensure_checkpoint_dir(spark)
+    return upsert(first, rerun.checkpoint(), ["class_id", "date"])
 
 
 # --- reports ----------------------------------------------------------------
 def _on_mart(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     def run(spark, sf_dir):
-        return build(_Tables(spark, sf_dir).mart())
+        return build(_Tables(spark, sf_dir).mart)
 
     run.__name__ = name
     query(run)
@@ -327,29 +342,29 @@ _on_mart("report_mart_table", reports.mart_table)
 
 @query
 def students_per_class_grade(spark, sf_dir):
-    return reports.students_per_class_and_grade(_Tables(spark, sf_dir).dim())
+    return reports.students_per_class_and_grade(_Tables(spark, sf_dir).dim)
 
 
 @query
 def avg_score_by_subject(spark, sf_dir):
-    return reports.subject_averages(_Tables(spark, sf_dir).assessments())
+    return reports.subject_averages(_Tables(spark, sf_dir).assessments)
 
 
 @query
 def top5_students(spark, sf_dir):
     t = _Tables(spark, sf_dir)
-    return reports.top_students(t.assessments(), t.dim())
+    return reports.top_students(t.assessments, t.dim)
 
 
 @query
 def attendance_on_date_detail(spark, sf_dir):
     t = _Tables(spark, sf_dir)
-    return reports.attendance_detail(t.attendance(), t.dim(), DAY)
+    return reports.attendance_detail(t.attendance, t.dim, DAY)
 
 
 @query
 def report_score_by_subject(spark, sf_dir):
-    return reports.score_by_subject(_Tables(spark, sf_dir).assessments())
+    return reports.score_by_subject(_Tables(spark, sf_dir).assessments)
 
 
 # --- profiles ---------------------------------------------------------------

@@ -14,6 +14,8 @@ CORE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording a Python call site for every column slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
