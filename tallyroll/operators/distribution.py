@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroll.functions.numbers import round_half_even, text_mean
-from tallyroll.session import ensure_checkpoint_dir
+from tallyroll.session import written_once
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
@@ -58,8 +58,7 @@ def running_total(df: DataFrame, order_by: str, amount: str, out: str) -> DataFr
     totals (one per shuffle partition) give every range its starting value.
     The range numbers must be the same in both uses, so they are checkpointed.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    ranged = written_once(df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id()))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("_slice")

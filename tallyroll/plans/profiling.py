@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroll.functions.numbers import EXACT_SCORE, round_half_even, text_mean
@@ -238,36 +238,54 @@ def class_attendance(attendance: DataFrame, students: DataFrame) -> DataFrame:
 
 
 # --- readiness --------------------------------------------------------------
-def _no_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    anywhere = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-    return df.agg((F.count_if(anywhere) == 0).alias("passed"))
+def _checks(df: DataFrame, checks: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """``(seq, check, passed)`` rows from one pass; a check is a predicate of rows that break it."""
+    counted = df.agg(*[F.expr(f"count_if({broken}) = 0 as check_{seq}") for seq, _, broken in checks])
+    stacked = ", ".join(f"{seq}, '{name}', check_{seq}" for seq, name, _ in checks)
+    return counted.selectExpr(f"stack({len(checks)}, {stacked}) as (seq, check, passed)")
+
+
+def _any_null(entity: str) -> str:
+    return " or ".join(f"{c} is null" for c in SOURCE_COLUMNS[entity])
 
 
 def readiness(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The eight checks over all three sources, one row each."""
     students, attendance, assessments = (tables[n] for n in ("students", "attendance", "assessments"))
-    key = ["student_id"]
-    bad_status = ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))
-    within = F.coalesce(F.col("score").cast(EXACT_SCORE) <= F.col("max_score").cast(EXACT_SCORE), F.lit(False))
-    checks = [
-        ("students.csv has no nulls", _no_nulls(students, SOURCE_COLUMNS["students"])),
-        ("attendance.csv has no nulls", _no_nulls(attendance, SOURCE_COLUMNS["attendance"])),
-        ("assessments.json has no nulls", _no_nulls(assessments, SOURCE_COLUMNS["assessments"])),
-        (
-            "student_id is unique in students",
-            duplicate_summary(students, key).select((F.col("duplicate_count") == 0).alias("passed")),
-        ),
-        (
-            "No orphan student_ids in attendance",
-            orphan_total(attendance, students, "student_id").select((F.col("orphan_count") == 0).alias("passed")),
-        ),
-        (
-            "No orphan student_ids in assessments",
-            orphan_total(assessments, students, "student_id").select((F.col("orphan_count") == 0).alias("passed")),
-        ),
-        ("Attendance status only PRESENT/ABSENT", attendance.agg((F.count_if(bad_status) == 0).alias("passed"))),
-        ("Score <= max_score in all rows", assessments.agg((F.count_if(~within) == 0).alias("passed"))),
-    ]
+    statuses = ", ".join(f"'{s}'" for s in STATUSES)
+    number = EXACT_SCORE.simpleString()
     return _union(
-        [df.select(F.lit(i + 1).alias("seq"), F.lit(name).alias("check"), "passed") for i, (name, df) in enumerate(checks)]
+        [
+            _checks(students, [(1, "students.csv has no nulls", _any_null("students"))]),
+            _checks(
+                attendance,
+                [
+                    (2, "attendance.csv has no nulls", _any_null("attendance")),
+                    (7, "Attendance status only PRESENT/ABSENT", f"not coalesce(status in ({statuses}), false)"),
+                ],
+            ),
+            _checks(
+                assessments,
+                [
+                    (3, "assessments.json has no nulls", _any_null("assessments")),
+                    (
+                        8,
+                        "Score <= max_score in all rows",
+                        f"not coalesce(cast(score as {number}) <= cast(max_score as {number}), false)",
+                    ),
+                ],
+            ),
+            _checks(
+                duplicate_summary(students, ["student_id"]),
+                [(4, "student_id is unique in students", "duplicate_count > 0")],
+            ),
+            _checks(
+                orphan_total(attendance, students, "student_id"),
+                [(5, "No orphan student_ids in attendance", "orphan_count > 0")],
+            ),
+            _checks(
+                orphan_total(assessments, students, "student_id"),
+                [(6, "No orphan student_ids in assessments", "orphan_count > 0")],
+            ),
+        ]
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run of this package wants, whatever the cluster.
 CORE_SETTINGS = {
@@ -47,3 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="tallyroll-checkpoint-")
     context.setCheckpointDir(shared)
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` computed now and kept in the checkpoint folder, for plans that read it several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
