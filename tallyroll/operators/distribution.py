@@ -56,7 +56,7 @@ def running_total(df: DataFrame, order_by: str, amount: str, out: str) -> DataFr
     A window without keys would pull everything into one task. Here the rows
     are range-partitioned, each range sums its own rows, and the few range
     totals (one per shuffle partition) give every range its starting value.
-    The range numbers must be the same in both uses, so they are checkpointed.
+    The range numbers must be the same in both uses, so they are written once.
     """
     ranged = written_once(df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id()))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

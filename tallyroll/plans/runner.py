@@ -29,7 +29,8 @@ class Pipeline:
     """The stages over one source folder and one lake folder.
 
     ``patterns`` are the id patterns of the quality rules; ``engine`` picks the
-    rule set. Each stage reads what the one before wrote, so nothing upstream is
+    rule set. Gold tables keep ``keep_versions`` versions, so a reader of the one
+    before last is safe. Each stage reads what the one before wrote, so nothing upstream is
     computed twice.
     """
 
@@ -43,6 +44,7 @@ class Pipeline:
         patterns: Mapping[str, str] | None = None,
         json_lines: bool = False,
         multiline_csv: bool = False,
+        keep_versions: int = 2,
     ):
         self.spark = spark
         self.source_dir = source_dir
@@ -51,6 +53,7 @@ class Pipeline:
         self.patterns = dict(patterns or {})
         self.json_lines = json_lines
         self.multiline_csv = multiline_csv
+        self.keep_versions = keep_versions
 
     # --- files to Bronze ----------------------------------------------------
     def read_source(self, entity: str) -> DataFrame:
@@ -156,4 +159,6 @@ class Pipeline:
             "fact_assessments": self.load_fact_assessments(run_date),
         }
         loaded["mart_class_daily_performance"] = self.compute_mart()
+        for table in loaded:
+            self.lake.drop_old_versions(table, self.keep_versions)
         return {"bronze": bronze, "silver": silver, "gold": loaded}

@@ -1,9 +1,10 @@
-"""Session helpers: a local session for tests, and the shared checkpoint folder."""
+"""Session helpers: a local session for tests, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,20 +37,23 @@ def local_session(cpus: int | None = None, app: str = "tallyroll") -> SparkSessi
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; make a folder only for local runs."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only for local runs."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tallyroll-checkpoint-")
-    context.setCheckpointDir(shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyroll-"))
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def written_once(df: DataFrame) -> DataFrame:
-    """``df`` computed now and kept in the checkpoint folder, for plans that read it several times."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed now, as Parquet in the shared folder, for plans that read it several times.
+
+    It survives lost executors, and each later read takes only its own columns.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,10 @@ from datetime import datetime
 
 import pytest
 
+from tallyroll import fixtures
+from tallyroll.plans import profiling
 from tallyroll.plans.runner import Pipeline
+from tallyroll.queries import QUERIES
 from tallyroll.schemas import DIM_STUDENTS, FACT_ATTENDANCE, MART, SOURCE_COLUMNS
 from tallyroll.sources.files import (
     MissingColumn,
@@ -213,6 +216,9 @@ def test_whole_run(spark, tmp_path):
         ("CLASS-01", "2025-01-12", 1, 0.5, 0.0),
     ]
 
+    pipeline.run("2025-01-03")
+    assert len(list((tmp_path / "lake" / "gold" / MART.table).glob("v=*"))) == 2
+
     views = pipeline.lake.register_views(DAY)
     assert "mart_class_daily_performance" in views and "silver_students" in views
     top = spark.sql(
@@ -222,6 +228,27 @@ def test_whole_run(spark, tmp_path):
     assert [r.student_id for r in top.collect()] == ["S-0002"]
 
 
+def test_profiles_of_typed_files(spark, tmp_path):
+    folder = sources(tmp_path / "in", students=STUDENTS + [["S-0004", "", "CLASS-02", "12", "ACTIVE", "2025-01-01 00:00:00"]])
+    tables = {
+        "students": read_csv_typed(spark, f"{folder}/students.csv"),
+        "attendance": read_csv_typed(spark, f"{folder}/attendance.csv"),
+        "assessments": read_json_typed(spark, f"{folder}/assessments.json"),
+    }
+    passed = {r.seq: r.passed for r in profiling.readiness(tables).collect()}
+    assert passed == {i: i != 1 for i in range(1, 9)}  # only the empty name is a NULL
+    nulls = {r.column_name: r.null_count for r in profiling.shape_and_nulls(tables["students"], "students").collect()}
+    assert nulls["student_name"] == 1 and sum(nulls.values()) == 1
+    span = profiling.date_range(tables["attendance"], "attendance", "attendance_date").first()
+    assert str(span.first_date) == str(span.last_date) == "2025-01-10"
+    described = {r.statistic: r.value for r in profiling.score_description(tables["assessments"]).collect()}
+    assert described == {
+        "count": 3, "mean": 80.17, "std": 10.25, "min": 70.0, "25%": 75.0, "50%": 80.0, "75%": 85.25, "max": 90.5,
+    }
+    daily = profiling.daily_means(tables["assessments"]).collect()
+    assert [(str(r.assessment_date), r.mean_score) for r in daily] == [("2025-01-10", 90.5), ("2025-01-11", 70.0)]
+
+
 def test_failed_validation_quarantines_and_continues(spark, tmp_path):
     bad = ATTENDANCE + [["A5", "S-0002", "2025-01-11", "late", "2025-01-11 08:00:00"]]
     pipeline = Pipeline(spark, sources(tmp_path / "in", attendance=bad), str(tmp_path / "lake"))
@@ -262,3 +289,33 @@ def test_fallback_engine_and_own_patterns(spark, tmp_path):
     own = Pipeline(spark, folder, str(tmp_path / "b"), patterns={"student_id": "^S-[0-9]{6}$"})
     own.ingest("students", DAY)
     assert own.transform("students", DAY)["validation"]["success"] is True
+
+
+def test_run_over_files_of_the_given_tables(spark, sf_dir, tmp_path):
+    """The tables written out as source files, run through every layer, give the mart of the direct query."""
+    folder = str(tmp_path / "in")
+    for entity in ("students", "attendance"):
+        raw = fixtures.raw(spark, sf_dir, entity).repartition(4).write.option("header", True)
+        raw.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{entity}.csv")
+    fixtures.raw(spark, sf_dir, "assessments").repartition(4).write.json(f"{folder}/assessments.json")
+
+    pipeline = Pipeline(
+        spark, folder, str(tmp_path / "lake"), patterns={"student_id": fixtures.STUDENT_ID}, json_lines=True
+    )
+    result = pipeline.run(DAY)
+    counts = {e: (r["records_raw"], r["records_silver"], r["validation"]["success"]) for e, r in result["silver"].items()}
+    assert counts == {
+        "students": (1500, 1500, False),
+        "attendance": (8019, 3288, False),
+        "assessments": (3998, 3190, True),
+    }
+    loaded = pipeline.lake.read_table(MART.table).drop("_computed_at")
+    text = [f"cast({c} as string) as {c}" for c in loaded.columns]
+    direct = QUERIES["mart_class_daily_performance"](spark, sf_dir)
+    numbers = [f"cast({c} as double) as {c}" for c in loaded.columns if c not in ("class_id", "date")]
+    assert loaded.count() == direct.count() == 750
+    assert (
+        loaded.selectExpr("class_id", text[1], *numbers)
+        .exceptAll(direct.selectExpr("class_id", "date", *numbers))
+        .isEmpty()
+    )
