@@ -68,13 +68,18 @@ def in_set(column: str, allowed: Sequence[str], null_breaks: bool = False) -> Ru
     return Rule(f"{column}_valid", IN_SET, column, f"coalesce({column} not in ({listed}), {str(null_breaks).lower()})")
 
 
+def _number(column: str) -> str:
+    """The cell as a number; text that is no number, and NaN, become NULL."""
+    return f"nanvl(try_cast({column} as double), null)"
+
+
 def score_non_negative() -> Rule:
-    """Text that is no number breaks the rule."""
-    return Rule("score_non_negative", "score_non_negative", "score", "not coalesce(try_cast(score as double) >= 0, false)")
+    """A score that is no number breaks the rule."""
+    return Rule("score_non_negative", "score_non_negative", "score", f"not coalesce({_number('score')} >= 0, false)")
 
 
 def score_within_max() -> Rule:
-    ok = "try_cast(score as double) <= try_cast(max_score as double)"
+    ok = f"{_number('score')} <= {_number('max_score')}"
     return Rule("score_lte_max", "score_lte_max", "score", f"not coalesce({ok}, false)")
 
 

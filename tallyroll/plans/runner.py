@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from datetime import datetime
+from functools import partialmethod
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,10 @@ class Pipeline:
             self._refuse_absent_columns(entity, run_date)
         return self.lake.batch_path("bronze", entity, run_date)
 
+    ingest_students = partialmethod(ingest, "students")
+    ingest_attendance = partialmethod(ingest, "attendance")
+    ingest_assessments = partialmethod(ingest, "assessments")
+
     def _refuse_absent_columns(self, entity: str, run_date: str) -> None:
         """A JSON key that no record has reads as NULL everywhere: stop before Silver."""
         batch = self.lake.read_batch("bronze", entity, run_date)
@@ -101,6 +106,10 @@ class Pipeline:
             "validation": validation,
         }
 
+    transform_students = partialmethod(transform, "students")
+    transform_attendance = partialmethod(transform, "attendance")
+    transform_assessments = partialmethod(transform, "assessments")
+
     def _patterns_for(self, entity: str) -> dict[str, str]:
         known = {"student_id", "class_id"} if self.engine == "primary" else {"student_id"}
         return {k: v for k, v in self.patterns.items() if k in known}

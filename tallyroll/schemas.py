@@ -67,6 +67,10 @@ class Contract:
     def columns(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    @property
+    def schema(self) -> str:
+        return ", ".join(f"{f.name} {f.type}" for f in self.fields)
+
 
 _NOW = "cast(current_timestamp() as timestamp_ntz)"
 

@@ -86,10 +86,13 @@ class Lake:
         return live[-1] if live else None
 
     def read_table(self, table: str) -> DataFrame:
+        """The live version; a declared table that was never loaded is empty."""
         version = self.live_version(table)
-        if version is None:
-            raise LookupError(f"{table} has not been loaded")
-        return self.spark.read.parquet(self._version_path(table, version))
+        if version is not None:
+            return self.spark.read.parquet(self._version_path(table, version))
+        if table not in CONTRACTS:
+            raise LookupError(f"{table} is not a Gold table")
+        return self.spark.createDataFrame([], CONTRACTS[table].schema)
 
     def _publish(self, table: str, version: int) -> None:
         fs, marker = self._path(f"{self._version_path(table, version)}/{MARKER}")
@@ -166,8 +169,8 @@ class Lake:
 
     # --- SQL names ----------------------------------------------------------
     def register_views(self, run_date: str | None = None) -> list[str]:
-        """Make every live Gold table, and the Silver batch of ``run_date``, a view for ``spark.sql``."""
-        views = {t: self.read_table(t) for t in CONTRACTS if self.live_version(t) is not None}
+        """Make every Gold table, and the Silver batch of ``run_date``, a view for ``spark.sql``."""
+        views = {t: self.read_table(t) for t in CONTRACTS}
         if run_date is not None:
             views |= {f"silver_{e}": self.read_batch("silver", e, run_date) for e in ENTITIES}
         for name, df in views.items():

@@ -85,11 +85,8 @@ def student(key, class_id="CLASS-01", name="Ann"):
     return (key, name, class_id, 10, "ACTIVE", datetime(2025, 1, 1), datetime(2025, 1, 1))
 
 
-DIM_SCHEMA = ", ".join(f"{f.name} {f.type}" for f in DIM_STUDENTS.fields)
-
-
 def dim(spark, *rows):
-    return spark.createDataFrame(list(rows), DIM_SCHEMA)
+    return spark.createDataFrame(list(rows), DIM_STUDENTS.schema)
 
 
 def ids(lake):
@@ -99,8 +96,9 @@ def ids(lake):
 def test_reload_publishes_only_accepted_versions(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     assert lake.live_version("dim_students") is None
+    assert lake.read_table("dim_students").columns == DIM_STUDENTS.columns and ids(lake) == []
     with pytest.raises(LookupError):
-        lake.read_table("dim_students")
+        lake.read_table("dim_teachers")
     assert lake.replace_table(dim(spark, student("S-1"), student("S-2")), DIM_STUDENTS) == 2
 
     with pytest.raises(ContractViolation) as repeated:
@@ -249,6 +247,25 @@ def test_profiles_of_typed_files(spark, tmp_path):
     assert [(str(r.assessment_date), r.mean_score) for r in daily] == [("2025-01-10", 90.5), ("2025-01-11", 70.0)]
 
 
+def test_a_source_without_rows_leaves_its_table_as_it_was(spark, tmp_path):
+    pipeline = Pipeline(spark, sources(tmp_path / "in", attendance=[]), str(tmp_path / "lake"))
+    result = pipeline.run(DAY)
+    assert result["silver"]["attendance"]["validation"]["success"] is True
+    assert result["silver"]["attendance"]["records_silver"] == 0
+    assert result["gold"]["fact_attendance"] == 0
+    expected = [("CLASS-01", "2025-01-10", 0, 0.0, 90.5), ("CLASS-01", "2025-01-11", 0, 0.0, 70.0)]
+    assert mart_rows(pipeline) == expected
+
+    sources(tmp_path / "in")
+    pipeline.ingest_attendance(DAY)
+    pipeline.transform_attendance(DAY)
+    assert pipeline.load_fact_attendance(DAY) == 3
+    sources(tmp_path / "in", attendance=[])
+    assert pipeline.run("2025-01-02")["gold"]["fact_attendance"] == 0
+    assert pipeline.lake.read_table("fact_attendance").count() == 3
+    assert mart_rows(pipeline)[0] == ("CLASS-01", "2025-01-10", 1, 0.5, 90.5)
+
+
 def test_failed_validation_quarantines_and_continues(spark, tmp_path):
     bad = ATTENDANCE + [["A5", "S-0002", "2025-01-11", "late", "2025-01-11 08:00:00"]]
     pipeline = Pipeline(spark, sources(tmp_path / "in", attendance=bad), str(tmp_path / "lake"))

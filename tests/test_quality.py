@@ -70,6 +70,7 @@ def test_unparsable_and_out_of_range_scores(spark):
     bad = change("assessments", score="n/a")
     assert failures(spark, "assessments", bad) == []
     assert failures(spark, "assessments", bad, engine="fallback") == ["score_non_negative", "score_lte_max"]
+    assert failures(spark, "assessments", change("assessments", max_score="NaN"), engine="fallback") == ["score_lte_max"]
     high = change("assessments", score="101")
     assert failures(spark, "assessments", high, engine="fallback") == ["score_lte_max"]
 
