@@ -220,13 +220,15 @@ def subject_pivot(assessments: DataFrame, students: DataFrame, subjects: Sequenc
 def class_attendance(attendance: DataFrame, students: DataFrame) -> DataFrame:
     """Attendance rate per class over the recorded days, all enrolment statuses counted.
 
+    ``first_by_status`` keeps a PRESENT row whenever a student's day has one, so
+    here a hash aggregate with that question does instead of the sorted ranking.
     Classes are matched by id; a class without a PRESENT row has rate 0.
     """
-    placed = first_by_status(attendance).join(students.select("student_id", "class_id"), "student_id")
+    student_days = attendance.groupBy(*ATTENDANCE_KEY).agg(F.bool_or(F.col("status") == "PRESENT").alias("present"))
+    placed = student_days.join(students.select("student_id", "class_id"), "student_id")
     sizes = students.groupBy("class_id").agg(F.count("student_id").alias("total_students"))
     seen = placed.groupBy("class_id").agg(
-        F.count_if(F.col("status") == "PRESENT").alias("total_present"),
-        F.count_distinct("attendance_date").alias("days_recorded"),
+        F.count_if("present").alias("total_present"), F.count_distinct("attendance_date").alias("days_recorded")
     )
     rate = F.try_divide(F.col("total_present").cast("double"), F.col("total_students") * F.col("days_recorded"))
     return (

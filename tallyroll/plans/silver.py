@@ -40,24 +40,28 @@ def silver_students(raw: DataFrame, batch_passed: bool | Column = True) -> DataF
 def silver_attendance(raw: DataFrame, batch_passed: bool | Column = True) -> DataFrame:
     """One row per student and day: PRESENT before ABSENT, then the latest record.
 
-    Duplicates are found on the untrimmed keys, so the ranking comes before the
-    trimming. The id breaks ties that the order leaves open.
+    Duplicates are found on the untrimmed keys, so those are trimmed last; all
+    other columns are typed before the shuffle, which makes its rows half as
+    wide. Of the two statuses left, descending order puts PRESENT first. The id
+    breaks ties that the order leaves open.
     """
     status = F.upper(F.trim("status"))
     usable = raw.where(
         F.col("student_id").isNotNull() & F.col("attendance_date").isNotNull() & status.isin(*STATUSES)
+    ).select(
+        "attendance_id",
+        "student_id",
+        "attendance_date",
+        status.alias("status"),
+        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
     )
-    latest = F.col("created_at").cast("timestamp_ntz").desc_nulls_last()
-    present_first = F.when(status == "PRESENT", 1).otherwise(2)
-    kept = keep_first(
-        usable, ["student_id", "attendance_date"], [present_first, latest, F.col("attendance_id").asc_nulls_last()]
-    )
-    return kept.select(
+    order = [F.col("status").desc(), F.col("created_at").desc_nulls_last(), F.col("attendance_id").asc_nulls_last()]
+    return keep_first(usable, ["student_id", "attendance_date"], order).select(
         "attendance_id",
         F.trim("student_id").alias("student_id"),
         F.col("attendance_date").cast("date").alias("attendance_date"),
-        status.alias("status"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+        "status",
+        "created_at",
         *_audit("attendance", batch_passed),
     )
 
@@ -68,28 +72,29 @@ def silver_assessments(raw: DataFrame, batch_passed: bool | Column = True) -> Da
     ``max_score`` 0 with ``score`` 0 passes the guard; its normalised score is
     NULL and the Gold contract rejects it.
     """
-    score, max_score = F.col("score").cast("double"), F.col("max_score").cast("double")
-    usable = raw.where(
-        F.col("student_id").isNotNull()
-        & F.col("assessment_date").isNotNull()
-        & (score >= 0)
-        & (score <= max_score)
+    usable = (
+        raw.where(F.col("student_id").isNotNull() & F.col("assessment_date").isNotNull())
+        .select(
+            "assessment_id",
+            "student_id",
+            "subject",
+            F.col("score").cast("double").alias("score"),
+            F.col("max_score").cast("double").alias("max_score"),
+            "assessment_date",
+            F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+        )
+        .where("score >= 0 and score <= max_score")
     )
-    latest = F.col("created_at").cast("timestamp_ntz").desc_nulls_last()
-    kept = keep_first(
-        usable,
-        ["student_id", "subject", "assessment_date"],
-        [latest, F.col("assessment_id").asc_nulls_last()],
-    )
-    return kept.select(
+    order = [F.col("created_at").desc_nulls_last(), F.col("assessment_id").asc_nulls_last()]
+    return keep_first(usable, ["student_id", "subject", "assessment_date"], order).select(
         "assessment_id",
         F.trim("student_id").alias("student_id"),
         F.trim("subject").alias("subject"),
-        score.alias("score"),
-        max_score.alias("max_score"),
-        round_half_away(F.try_divide(score, max_score) * F.lit(100.0), 2).alias("normalized_score"),
+        "score",
+        "max_score",
+        round_half_away(F.try_divide("score", "max_score") * F.lit(100.0), 2).alias("normalized_score"),
         F.col("assessment_date").cast("date").alias("assessment_date"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+        "created_at",
         *_audit("assessments", batch_passed),
     )
 
