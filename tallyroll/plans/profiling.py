@@ -19,8 +19,8 @@ from tallyroll.schemas import SOURCE_COLUMNS, STATUSES, SUBJECTS
 
 ATTENDANCE_KEY = ("student_id", "attendance_date")
 ASSESSMENT_KEY = ("student_id", "subject", "assessment_date")
-# Longest duplicate group whose statuses are written out one by one.
-SPELLED_OUT = 1_000
+# Largest duplicate group whose statuses are written out one by one; a text cell has its limits.
+SPELLED_OUT = 1_000_000
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -125,9 +125,10 @@ def status_signatures(attendance: DataFrame) -> DataFrame:
     """How often each combination of statuses occurs among repeated (student, day) keys.
 
     Rows are counted per key and status before anything is gathered, so a key
-    carries one small entry per distinct status. Combinations of up to
-    ``SPELLED_OUT`` rows read ``ABSENT+PRESENT``; longer ones are written as
-    ``ABSENT*1200+PRESENT*3``, which says the same.
+    carries one small entry per distinct status, and text is made once per
+    combination. Combinations of up to ``SPELLED_OUT`` rows read
+    ``ABSENT+PRESENT``; longer ones, which no text cell could hold at scale, are
+    written as ``ABSENT*1200000+PRESENT*3``, which says the same.
     """
     usable = attendance.where(" and ".join(f"{k} is not null" for k in ATTENDANCE_KEY))
     per_status = usable.groupBy(*ATTENDANCE_KEY, "status").agg(F.count(F.lit(1)).alias("n"))
@@ -137,11 +138,10 @@ def status_signatures(attendance: DataFrame) -> DataFrame:
         .where("rows_in_key > 1")
     )
     counted = per_key.groupBy("mix", "rows_in_key").agg(F.count(F.lit(1)).alias("key_count"))
-    spelled = F.flatten(F.transform("mix", lambda m: F.array_repeat(m["status"], m["n"].cast("int"))))
-    short = F.transform("mix", lambda m: F.concat(m["status"], F.lit("*"), m["n"].cast("string")))
-    return counted.select(
-        F.array_join(F.when(F.col("rows_in_key") <= SPELLED_OUT, spelled).otherwise(short), "+").alias("statuses"),
-        "key_count",
+    spelled = "transform(mix, m -> concat(repeat(concat(m.status, '+'), cast(m.n - 1 as int)), m.status))"
+    short = "transform(mix, m -> concat(m.status, '*', m.n))"
+    return counted.selectExpr(
+        f"array_join(if(rows_in_key <= {SPELLED_OUT}, {spelled}, {short}), '+') as statuses", "key_count"
     ).orderBy(F.col("key_count").desc(), "statuses")
 
 
