@@ -15,6 +15,8 @@ CORE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A join may hash its smaller side instead of sorting both, once every partition of it is measured to fit.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Recording a Python call site for every column slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
