@@ -41,8 +41,8 @@ def silver_attendance(raw: DataFrame, batch_passed: bool | Column = True) -> Dat
     """One row per student and day: PRESENT before ABSENT, then the latest record.
 
     Duplicates are found on the untrimmed keys, so those are trimmed last; all
-    other columns are typed before the shuffle, which makes its rows half as
-    wide. Of the two statuses left, descending order puts PRESENT first. The id
+    other columns are typed before the shuffle, which makes its rows narrower.
+    Of the two statuses left, descending order puts PRESENT first. The id
     breaks ties that the order leaves open.
     """
     status = F.upper(F.trim("status"))
