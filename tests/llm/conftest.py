@@ -1,0 +1,51 @@
+import pytest
+from pyspark.sql import functions as F
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """Documents from (doc_id, text[, lang, source]) rows, with an extra column of a clashing name."""
+
+    def make(rows):
+        full = [(r[0], r[1], *(r[2:] or ("en", "src0"))) for r in rows]
+        df = spark.createDataFrame(full, "doc_id long, text string, lang string, source string")
+        extra = [F.length("text").cast("long").alias("n_chars")]
+        extra += [F.lit("x").alias(c) for c in ("node", "length", "_part", "size", "component", "row_number")]
+        return df.select("*", *extra)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def small_documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir.replace('sf0.01', 'sf0.001')}/documents.parquet")
+
+
+AWKWARD = [
+    (1, None),
+    (2, ""),
+    (3, " \n\t "),
+    (4, "one"),
+    (5, "one"),
+    (5, "one"),
+    (None, "a text without an id, long enough to have shingles of five words"),
+    (None, None),
+    (7, "é" * 5000 + " " + "word " * 3000),
+    (8, "a b c d e f g h\na b c d e f g h\n" * 40),
+    (9, "tail <|endoftext|> mid<|endoftext|>dle <|startoftext|>\x1c x  y   z \n\n q"),
+]
+
+
+@pytest.fixture
+def awkward(docs_of):
+    return docs_of(AWKWARD)
+
+
+@pytest.fixture
+def no_docs(docs_of):
+    return docs_of([(1, "x")]).where("false")
