@@ -3,10 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tallyroll.oracle import ORACLE_SQL as ORACLE
+from tallyroll.queries import QUERIES
 
 TABLES = ("customer", "events")
-QUERIES, ORACLE = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
