@@ -1,25 +1,49 @@
-"""The corpus pipeline: rules, lines, near copies, mix, packing."""
+"""The corpus pipeline: quality rules, line dedup, near copies, source mix and packing, over whole tables."""
 
 from __future__ import annotations
 
-from tallyroll.llm import minhash, packing
+from pyspark.sql import DataFrame, SparkSession
 
+from tallyroll.llm import lines, minhash, mixing, packing, quality
+from tallyroll.llm.common import written
+
+# Verified sets, hash functions and token files are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def near_copies(spark, docs, sf_dir):
+def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.keep_one_of_each(docs)
 
 
-def pack(spark, docs, sf_dir):
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces; a document that the mix took twice is packed twice."""
     return packing.pack(docs)
 
 
-STAGES = [("minhash_near_dedup", near_copies), ("best_fit_packing", pack)]
+STAGES = [
+    ("quality_rules", drop_bad),
+    ("line_dedup", drop_repeated_lines),
+    ("minhash_near_dedup", drop_near_copies),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack),
+]
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each is written and read back before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

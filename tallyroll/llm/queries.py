@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm import minhash, packing, sharding, tokens
+from tallyroll.llm import chat, fingerprint, lines, minhash, mixing, packing, quality, sharding, tokens, toxicity
+from tallyroll.llm.oracle import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -24,11 +24,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_source_mixing(spark, sf_dir):
+    plan = mixing.mix_plan(documents(spark, sf_dir))
+    rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op2_chat_formatting(spark, sf_dir):
+    """Transcripts as they come: turns whose speaker is known carry a marker."""
+    talk = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    spoken = F.when(F.col("role").isNotNull(), F.concat(F.initcap("role"), F.lit(": "), F.coalesce("text", F.lit(""))))
+    pieces = talk.select("conv_id", "turn", F.coalesce(spoken, F.col("text")).alias("text"))
+    return chat.render_turns(chat.parse_transcripts(pieces))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    scored = toxicity.tag_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 @query
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
 
+@query
+def op5_line_dedup(spark, sf_dir):
+    return lines.line_report(documents(spark, sf_dir))
+
+
+@query
+def op6_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprint_edits(documents(spark, sf_dir))
+
+
 @query
 def op7_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
@@ -51,3 +83,10 @@ def op9_sharding(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    judged = quality.judge(documents(spark, sf_dir))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept", "distance")

@@ -3,6 +3,8 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallyroll.llm import packing
@@ -33,6 +35,17 @@ def check(df, capacity=2048):
     return rows, sequences
 
 
+PARTS = st.sampled_from(["a", "Zz", "é", "e\u0301", "ß", "İ", "Σ", "²", "7", "the", "ing", ".", "'", "'s", ",", "###", "<|endoftext|>", "\x1c", "\xa0", "字", "_", "-", " ", "\n"])
+
+
+@given(st.lists(PARTS, max_size=40).map("".join))
+@settings(max_examples=500, deadline=None)
+def test_ids_of_words_are_those_of_the_text(text):
+    words = packing._words_of(public_tokenizers.path("word_bpe_49k.json"))
+    got = np.frombuffer(words.ids([text.encode()])[0], "<u4").tolist()
+    assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 def best_fit(lengths, capacity):
     """The number of sequences of plain best-fit decreasing."""
     gaps = []

@@ -1,0 +1,66 @@
+from itertools import product
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyroll.llm import toxicity
+
+
+def brute_chain(u, t):
+    """Marginals and expected transitions of one chain by adding up all paths."""
+    total, ones, moves = 0.0, np.zeros(len(u)), np.zeros((2, 2))
+    for path in product((0, 1), repeat=len(u)):
+        score = sum(x * y for x, y in zip(u, path)) + sum(t[a, b] for a, b in zip(path, path[1:]))
+        w = np.exp(score)
+        total += w
+        ones += w * np.array(path)
+        for a, b in zip(path, path[1:]):
+            moves[a, b] += w
+    return ones / total, moves / total
+
+
+def test_chains_against_all_paths():
+    rng = np.random.default_rng(1)
+    t = rng.normal(size=(2, 2))
+    chains = [rng.normal(size=n) * 2 for n in (3, 0, 7, 1, 5, 7)]
+    marginals, expected, begins = toxicity.chains(chains, t)
+    moves = np.zeros((2, 2))
+    for i, u in enumerate(chains):
+        if len(u):
+            ones, own = brute_chain(u, t)
+            assert marginals[begins[i] : begins[i + 1]] == pytest.approx(ones)
+            moves += own
+    assert expected == pytest.approx(moves)
+
+
+def test_held_out_accuracy(documents, spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = {r["doc_id"]: r for r in toxicity.tag_toxicity(documents, labels).collect()}
+    assert len(scored) == documents.count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in scored.values())
+    assert all(r["held_out"] == (crc32(str(d).encode()) % 5 == 0) for d, r in scored.items())
+    out = [r for r in labels.collect() if scored[r["doc_id"]]["held_out"]]
+    right = [scored[r["doc_id"]]["predicted"] == r["toxic"] for r in out]
+    assert np.mean(right) > 0.95
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    for d, r in scored.items():
+        for span in r["spans"]:
+            assert texts[d][span["start"] : span["end"]].strip()
+
+
+def test_labels_of_the_held_out_fold_change_nothing(small_documents, spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.replace('sf0.01', 'sf0.001')}/labels.parquet")
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert toxicity.training_rows(small_documents, labels) == toxicity.training_rows(small_documents, turned)
+
+
+def test_awkward_rows(awkward, no_docs, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = toxicity.tag_toxicity(awkward, none).collect()
+    assert len(rows) == awkward.count()
+    assert all(r["predicted"] == 0 for r in rows)
+    odd = spark.createDataFrame([(1, 1), (2, 0), (4, 1), (None, 1), (5, None), (5, 0), (77, 1)], "doc_id long, toxic int")
+    assert len(toxicity.tag_toxicity(awkward, odd).collect()) == awkward.count()
+    assert toxicity.tag_toxicity(no_docs, odd).collect() == []
