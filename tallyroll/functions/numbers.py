@@ -13,8 +13,6 @@ from pyspark.sql.types import DecimalType
 COUNT = DecimalType(19, 0)
 # A sum of scores or rates; dividing it by a COUNT keeps 22 fraction digits.
 TOTAL = DecimalType(20, 4)
-# Text scores are summed at this type: exact, and far from overflow.
-EXACT_SCORE = DecimalType(28, 10)
 
 
 def round_half_away(col: Column, digits: int) -> Column:
@@ -53,11 +51,19 @@ def exact_mean(col: Column) -> Column:
     return F.sum(col).cast("double") / F.count(col)
 
 
+def number_or_null(column: str) -> str:
+    """SQL of a cell as a double; text that is no number, and NaN, become NULL."""
+    return f"nanvl(try_cast({column} as double), null)"
+
+
 def text_mean(col: Column) -> Column:
-    """Mean of a text or double score as a double, the same for any row order."""
-    return F.sum(col.cast(EXACT_SCORE)).cast("double") / F.count(col)
+    """Mean of a text or numeric score as a double, cells that are no number left out.
+
+    Round it where it is reported: the last bits of a sum depend on row order.
+    """
+    return F.avg(F.nanvl(col.try_cast("double"), F.lit(None)))
 
 
 def text_to_integer(col: Column) -> Column:
     """Whole number from text; ``'10'`` and ``'10.0'`` both give 10."""
-    return F.round(F.trim(col).cast(EXACT_SCORE), 0).cast("int")
+    return F.round(F.trim(col).cast("double"), 0).cast("int")

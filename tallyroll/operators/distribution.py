@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroll.functions.numbers import round_half_even, text_mean
+from tallyroll.functions.numbers import number_or_null, round_half_even, text_mean
 from tallyroll.session import written_once
 
 
@@ -20,8 +20,8 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFra
     are then counted per bin on the map side. The overall mean is repeated on
     every row.
     """
-    x = F.col(column).cast("double")
-    low, high, mean = df.agg(F.min(x), F.max(x), text_mean(F.col(column))).first()
+    x = F.expr(number_or_null(column))
+    low, high, mean = df.agg(F.min(x), F.max(x), round_half_even(text_mean(F.col(column)), 6)).first()
     if low == high and low is not None:
         low, high = low - 0.5, high + 0.5
     lo, hi = F.lit(low).cast("double"), F.lit(high).cast("double")
@@ -50,15 +50,13 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFra
     )
 
 
-def running_total(df: DataFrame, order_by: str, amount: str, out: str) -> DataFrame:
-    """Running sum of ``amount`` over the whole of ``df`` in ``order_by`` order.
+def running_total(ranged: DataFrame, order_by: str, amount: str, out: str) -> DataFrame:
+    """Running sum of ``amount`` over the whole of ``ranged`` in ``order_by`` order.
 
     A window without keys would pull everything into one task. Here the rows
-    are range-partitioned, each range sums its own rows, and the few range
+    come from ``in_ranges``, each range sums its own rows, and the few range
     totals (one per shuffle partition) give every range its starting value.
-    The range numbers must be the same in both uses, so they are written once.
     """
-    ranged = written_once(df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id()))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("_slice")
@@ -70,33 +68,44 @@ def running_total(df: DataFrame, order_by: str, amount: str, out: str) -> DataFr
     return summed.join(starts, "_slice").withColumn(out, F.col("_start") + F.col("_inside")).drop("_slice", "_start", "_inside")
 
 
+def in_ranges(df: DataFrame, order_by: str) -> DataFrame:
+    """``df`` range-partitioned, with the number of its range; write it before using the number twice."""
+    return df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id())
+
+
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: rows ``(probability, quantile)``.
 
     Equal values are counted first, so a value held by a third of the rows is
-    one row; ranks come from ``running_total`` and no task sees all values.
+    one row; ranks come from ``running_total`` and no task sees all values. The
+    answer is a handful of numbers, so it is computed at once and the counted
+    values, which are written for it, are deleted again.
     """
     counted = (
-        df.select(F.col(column).cast("double").alias("x"))
+        df.select(F.expr(number_or_null(column)).alias("x"))
         .where("x is not null")
         .groupBy("x")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_total(counted, "x", "n", "last_rank")
-    total = ranked.agg(F.max("last_rank")).first()[0] or 0
-
     picks, rows = [], []
+    with written_once(in_ranges(counted, "x")) as ranged:
+        total = ranged.agg(F.sum("n")).first()[0] or 0
+        ranked = running_total(ranged, "x", "n", "last_rank")
+        for i, p in enumerate(probabilities):
+            at = p * max(total - 1, 0)
+            for side, rank in (("low", math.floor(at)), ("high", math.ceil(at))):
+                picks.append(F.expr(f"max(case when last_rank - n <= {rank} and last_rank > {rank} then x end) as {side}_{i}"))
+        found = ranked.agg(*picks).first()
     for i, p in enumerate(probabilities):
         at = p * max(total - 1, 0)
-        for side, rank in (("low", math.floor(at)), ("high", math.ceil(at))):
-            picks.append(F.expr(f"max(case when last_rank - n <= {rank} and last_rank > {rank} then x end) as {side}_{i}"))
-        rows.append(f"{float(p)}D, low_{i} + (high_{i} - low_{i}) * {at - math.floor(at)}D")
-    return ranked.agg(*picks).selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (probability, quantile)")
+        low, high = found[f"low_{i}"], found[f"high_{i}"]
+        rows.append((float(p), None if low is None else low + (high - low) * (at - math.floor(at))))
+    return df.sparkSession.createDataFrame(rows, "probability double, quantile double")
 
 
 def describe_numbers(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum as rows."""
-    x = F.col(column).cast("double")
+    x = F.expr(number_or_null(column))
     base = df.agg(
         F.count(x).cast("double").alias("count"),
         text_mean(F.col(column)).alias("mean"),

@@ -47,9 +47,13 @@ def with_defaults(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def typed(df: DataFrame, contract: Contract) -> DataFrame:
+    """Cast to the serving types; a number out of range stops the job."""
+    return df.selectExpr(*[f"cast({f.name} as {f.type}) as {f.name}" for f in contract.fields])
+
+
+def typed_if_possible(df: DataFrame, contract: Contract) -> DataFrame:
     """Cast to the serving types; a number out of range becomes NULL.
 
-    Only call it on rows that passed the contract, or where the contract is
-    judged on the uncast rows.
+    Only for rows whose contract is judged on the uncast values.
     """
     return df.selectExpr(*[f"try_cast({f.name} as {f.type}) as {f.name}" for f in contract.fields])

@@ -56,10 +56,11 @@ def class_daily_performance(
 ) -> DataFrame:
     """The mart.
 
-    The keys of both aggregates, each joined back to both, are what a full
-    outer join of the two gives, so each fact is read once and the join reuses
-    the partitioning of the aggregates. A NULL class finds no class size and
-    drops out, as does a class without an ACTIVE student. ``attendance_rate``
+    Both aggregates are stacked, each with NULL for the measures of the other, and
+    grouped once more by key: each fact is read once, a second shuffle carries
+    aggregates only, and a filter on class or day goes through to both facts,
+    which it would not through a full outer join. A NULL class finds no class size
+    and drops out, as does a class without an ACTIVE student. ``attendance_rate``
     can pass 1: it divides rows of all students by ACTIVE students. Days without
     assessments carry a score of 0.00.
     """
@@ -67,9 +68,11 @@ def class_daily_performance(
         computed_at = datetime.now(timezone.utc).replace(tzinfo=None)
     stamp = computed_at if isinstance(computed_at, Column) else F.lit(computed_at.isoformat(sep=" "))
 
-    activity = attendance_by_class_day(attendance).join(
-        assessments_by_class_day(assessments), ["class_id", "date"], "full_outer"
+    keys = ["class_id", "date"]
+    stacked = attendance_by_class_day(attendance).unionByName(
+        assessments_by_class_day(assessments), allowMissingColumns=True
     )
+    activity = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in keys])
     zero = F.lit(0)
     return activity.join(class_sizes(dim), "class_id").select(
         "class_id",

@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.functions.numbers import EXACT_SCORE, round_half_even, text_mean
+from tallyroll.functions.numbers import number_or_null, round_half_even, text_mean
 from tallyroll.operators.dedup import duplicate_summary, duplicated_rows, keep_first, key_counts
 from tallyroll.operators.distribution import describe_numbers, equal_width_histogram
 from tallyroll.operators.lookup import orphan_total
@@ -19,8 +19,17 @@ from tallyroll.schemas import SOURCE_COLUMNS, STATUSES, SUBJECTS
 
 ATTENDANCE_KEY = ("student_id", "attendance_date")
 ASSESSMENT_KEY = ("student_id", "subject", "assessment_date")
-# Largest duplicate group whose statuses are written out one by one; a text cell has its limits.
-SPELLED_OUT = 1_000_000
+# The readiness checks, in order.
+CHECKS = (
+    "no_nulls_in_students",
+    "no_nulls_in_attendance",
+    "no_nulls_in_assessments",
+    "unique_student_ids",
+    "no_orphans_in_attendance",
+    "no_orphans_in_assessments",
+    "known_statuses",
+    "scores_within_max",
+)
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -126,9 +135,7 @@ def status_signatures(attendance: DataFrame) -> DataFrame:
 
     Rows are counted per key and status before anything is gathered, so a key
     carries one small entry per distinct status, and text is made once per
-    combination. Combinations of up to ``SPELLED_OUT`` rows read
-    ``ABSENT+PRESENT``; longer ones, which no text cell could hold at scale, are
-    written as ``ABSENT*1200000+PRESENT*3``, which says the same.
+    combination. A combination longer than a text cell can be stops the job.
     """
     usable = attendance.where(" and ".join(f"{k} is not null" for k in ATTENDANCE_KEY))
     per_status = usable.groupBy(*ATTENDANCE_KEY, "status").agg(F.count(F.lit(1)).alias("n"))
@@ -139,10 +146,7 @@ def status_signatures(attendance: DataFrame) -> DataFrame:
     )
     counted = per_key.groupBy("mix", "rows_in_key").agg(F.count(F.lit(1)).alias("key_count"))
     spelled = "transform(mix, m -> concat(repeat(concat(m.status, '+'), cast(m.n - 1 as int)), m.status))"
-    short = "transform(mix, m -> concat(m.status, '*', m.n))"
-    return counted.selectExpr(
-        f"array_join(if(rows_in_key <= {SPELLED_OUT}, {spelled}, {short}), '+') as statuses", "key_count"
-    ).orderBy(F.col("key_count").desc(), "statuses")
+    return counted.selectExpr(f"array_join({spelled}, '+') as statuses", "key_count").orderBy(F.col("key_count").desc(), "statuses")
 
 
 def first_by_status(attendance: DataFrame) -> DataFrame:
@@ -185,24 +189,21 @@ def score_histogram(assessments: DataFrame) -> DataFrame:
 def subject_means(assessments: DataFrame) -> DataFrame:
     return (
         assessments.groupBy("subject")
-        .agg(text_mean(F.col("score")).alias("mean_score"))
+        .agg(round_half_even(text_mean(F.col("score")), 6).alias("mean_score"))
         .orderBy(F.col("mean_score").desc_nulls_last(), "subject")
     )
 
 
 def daily_means(assessments: DataFrame) -> DataFrame:
-    """Mean score per day of the deduplicated rows, with the mean of the daily means.
-
-    The overall mean sees one row per day, so its window without keys stays small.
-    """
+    """Mean score per day of the deduplicated rows, with the mean of the daily means."""
     day = F.col("assessment_date").cast("timestamp_ntz").cast("date")
     daily = (
         latest_assessments(assessments)
         .groupBy(day.alias("assessment_date"))
-        .agg(text_mean(F.col("score")).alias("mean_score"))
+        .agg(round_half_even(text_mean(F.col("score")), 6).alias("mean_score"))
     )
-    overall = F.avg("mean_score").over(Window.partitionBy(F.lit(0)))
-    return daily.withColumn("mean_of_days", round_half_even(overall, 6)).orderBy("assessment_date")
+    overall = daily.agg(round_half_even(F.avg("mean_score"), 6)).scalar()
+    return daily.withColumn("mean_of_days", overall).orderBy("assessment_date")
 
 
 def subject_pivot(assessments: DataFrame, students: DataFrame, subjects: Sequence[str] | None = SUBJECTS) -> DataFrame:
@@ -240,10 +241,10 @@ def class_attendance(attendance: DataFrame, students: DataFrame) -> DataFrame:
 
 
 # --- readiness --------------------------------------------------------------
-def _checks(df: DataFrame, checks: Sequence[tuple[int, str, str]]) -> DataFrame:
+def _checks(df: DataFrame, checks: Mapping[int, str]) -> DataFrame:
     """``(seq, check, passed)`` rows from one pass; a check is a predicate of rows that break it."""
-    counted = df.agg(*[F.expr(f"count_if({broken}) = 0 as check_{seq}") for seq, _, broken in checks])
-    stacked = ", ".join(f"{seq}, '{name}', check_{seq}" for seq, name, _ in checks)
+    counted = df.agg(*[F.expr(f"count_if({broken}) = 0 as check_{seq}") for seq, broken in checks.items()])
+    stacked = ", ".join(f"{seq}, '{CHECKS[seq - 1]}', check_{seq}" for seq in checks)
     return counted.selectExpr(f"stack({len(checks)}, {stacked}) as (seq, check, passed)")
 
 
@@ -255,39 +256,14 @@ def readiness(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The eight checks over all three sources, one row each."""
     students, attendance, assessments = (tables[n] for n in ("students", "attendance", "assessments"))
     statuses = ", ".join(f"'{s}'" for s in STATUSES)
-    number = EXACT_SCORE.simpleString()
+    score, most = number_or_null("score"), number_or_null("max_score")
     return _union(
         [
-            _checks(students, [(1, "students.csv has no nulls", _any_null("students"))]),
-            _checks(
-                attendance,
-                [
-                    (2, "attendance.csv has no nulls", _any_null("attendance")),
-                    (7, "Attendance status only PRESENT/ABSENT", f"not coalesce(status in ({statuses}), false)"),
-                ],
-            ),
-            _checks(
-                assessments,
-                [
-                    (3, "assessments.json has no nulls", _any_null("assessments")),
-                    (
-                        8,
-                        "Score <= max_score in all rows",
-                        f"not coalesce(cast(score as {number}) <= cast(max_score as {number}), false)",
-                    ),
-                ],
-            ),
-            _checks(
-                duplicate_summary(students, ["student_id"]),
-                [(4, "student_id is unique in students", "duplicate_count > 0")],
-            ),
-            _checks(
-                orphan_total(attendance, students, "student_id"),
-                [(5, "No orphan student_ids in attendance", "orphan_count > 0")],
-            ),
-            _checks(
-                orphan_total(assessments, students, "student_id"),
-                [(6, "No orphan student_ids in assessments", "orphan_count > 0")],
-            ),
+            _checks(students, {1: _any_null("students")}),
+            _checks(attendance, {2: _any_null("attendance"), 7: f"not coalesce(status in ({statuses}), false)"}),
+            _checks(assessments, {3: _any_null("assessments"), 8: f"not coalesce({score} <= {most}, false)"}),
+            _checks(duplicate_summary(students, ["student_id"]), {4: "duplicate_count > 0"}),
+            _checks(orphan_total(attendance, students, "student_id"), {5: "orphan_count > 0"}),
+            _checks(orphan_total(assessments, students, "student_id"), {6: "orphan_count > 0"}),
         ]
     )

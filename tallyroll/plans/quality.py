@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.functions.numbers import number_or_null
 from tallyroll.schemas import (
     CLASS_ID_PATTERN,
     ENROLLMENT_STATUSES,
@@ -68,18 +69,13 @@ def in_set(column: str, allowed: Sequence[str], null_breaks: bool = False) -> Ru
     return Rule(f"{column}_valid", IN_SET, column, f"coalesce({column} not in ({listed}), {str(null_breaks).lower()})")
 
 
-def _number(column: str) -> str:
-    """The cell as a number; text that is no number, and NaN, become NULL."""
-    return f"nanvl(try_cast({column} as double), null)"
-
-
 def score_non_negative() -> Rule:
     """A score that is no number breaks the rule."""
-    return Rule("score_non_negative", "score_non_negative", "score", f"not coalesce({_number('score')} >= 0, false)")
+    return Rule("score_non_negative", "score_non_negative", "score", f"not coalesce({number_or_null('score')} >= 0, false)")
 
 
 def score_within_max() -> Rule:
-    ok = f"{_number('score')} <= {_number('max_score')}"
+    ok = f"{number_or_null('score')} <= {number_or_null('max_score')}"
     return Rule("score_lte_max", "score_lte_max", "score", f"not coalesce({ok}, false)")
 
 

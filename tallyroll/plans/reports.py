@@ -11,22 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tallyroll.functions.numbers import exact_avg, exact_mean
+from tallyroll.schemas import MART
 
 # --- fixed values -----------------------------------------------------------
-RESULT_CAP = 50_000
 GRAINS = {"P1D": "day", "P1W": "week", "P1M": "month", "P3M": "quarter", "P1Y": "year"}
-MART_REPORT_COLUMNS = (
-    "class_id",
-    "date",
-    "total_students",
-    "students_with_attendance",
-    "present_count",
-    "absent_count",
-    "attendance_rate",
-    "students_with_assessment",
-    "assessment_count",
-    "avg_score",
-)
+# ----------------------------------------------------------------------------
+MART_REPORT_COLUMNS = [c for c in MART.columns if not c.startswith("_")]
 
 
 @dataclass(frozen=True)
@@ -64,16 +54,16 @@ def report(
     grain: str | None = None,
     columns: Sequence[str] = (),
     order_by: Sequence[str] = (),
-    row_limit: int = 10_000,
+    row_limit: int | None = None,
 ) -> DataFrame:
     """Grouped metrics, or plain ``columns`` when no metric is asked for.
 
-    Groups come with the largest first metric first, ties by group, so the row
-    limit always keeps the same rows. The limit itself is capped.
+    Groups come with the largest first metric first, ties by group, so a row
+    limit always keeps the same rows. Without one all rows are returned.
     """
-    limit = min(row_limit, RESULT_CAP)
     if not metrics:
-        return df.select(*columns).orderBy(*(order_by or columns)).limit(limit)
+        ordered = df.select(*columns).orderBy(*(order_by or columns))
+        return ordered if row_limit is None else ordered.limit(row_limit)
 
     keys = [F.col(name) for name in groupby]
     names = list(groupby)
@@ -82,7 +72,8 @@ def report(
         keys.insert(0, bucket.alias(time_column))
         names.insert(0, time_column)
     grouped = df.groupBy(*keys).agg(*[_aggregate(df, m).alias(m.label) for m in metrics])
-    return grouped.orderBy(F.col(f"`{metrics[0].label}`").desc_nulls_last(), *names).limit(limit)
+    ordered = grouped.orderBy(F.col(f"`{metrics[0].label}`").desc_nulls_last(), *names)
+    return ordered if row_limit is None else ordered.limit(row_limit)
 
 
 # --- dashboard --------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from datetime import datetime
-from functools import partialmethod
+from functools import partial, partialmethod
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +20,7 @@ from tallyroll.schemas import (
     SOURCE_COLUMNS,
     SOURCE_FILES,
 )
+from tallyroll.session import check_settings
 from tallyroll.sources.files import MissingColumn, read_csv_text, read_json_text, with_audit
 from tallyroll.sources.lake import Lake
 
@@ -47,6 +48,7 @@ class Pipeline:
         multiline_csv: bool = False,
         keep_versions: int = 2,
     ):
+        check_settings(spark)
         self.spark = spark
         self.source_dir = source_dir
         self.lake = Lake(spark, lake_root)
@@ -67,22 +69,27 @@ class Pipeline:
     def ingest(self, entity: str, run_date: str) -> str:
         """Land one source; duplicates stay. Returns the batch folder."""
         landed = with_audit(self.read_source(entity), SOURCE_FILES[entity])
-        self.lake.write_batch(landed, "bronze", entity, run_date)
-        if SOURCE_FILES[entity].endswith(".json"):
-            self._refuse_absent_columns(entity, run_date)
+        accept = partial(self._refuse_absent_keys, entity) if SOURCE_FILES[entity].endswith(".json") else None
+        self.lake.write_batch(landed, "bronze", entity, run_date, accept)
         return self.lake.batch_path("bronze", entity, run_date)
 
     ingest_students = partialmethod(ingest, "students")
     ingest_attendance = partialmethod(ingest, "attendance")
     ingest_assessments = partialmethod(ingest, "assessments")
 
-    def _refuse_absent_columns(self, entity: str, run_date: str) -> None:
-        """A JSON key that no record has reads as NULL everywhere: stop before Silver."""
-        batch = self.lake.read_batch("bronze", entity, run_date)
-        filled = batch.selectExpr("count(1) as `rows`", *[f"count({c}) as {c}" for c in SOURCE_COLUMNS[entity]]).first()
-        absent = [c for c in SOURCE_COLUMNS[entity] if filled["rows"] and not filled[c]]
-        if absent:
-            raise MissingColumn(f"{SOURCE_FILES[entity]} has no value for {', '.join(absent)}")
+    def _refuse_absent_keys(self, entity: str, counts: Mapping[str, int]) -> None:
+        """A JSON key that no record has reads as NULL everywhere, as does one that is always null.
+
+        Only if a column has no value at all are the keys of the file looked up,
+        to tell the two apart: the first is refused, the second accepted.
+        """
+        blank = [c for c in SOURCE_COLUMNS[entity] if counts["rows"] and not counts[c]]
+        if blank:
+            path = f"{self.source_dir}/{SOURCE_FILES[entity]}"
+            keys = read_json_text(self.spark, path, json_lines=self.json_lines).columns
+            absent = [c for c in blank if c not in keys]
+            if absent:
+                raise MissingColumn(f"{path} has no key {', '.join(absent)}")
 
     # --- Bronze to Silver ---------------------------------------------------
     def transform(self, entity: str, run_date: str) -> dict:

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from tallyroll.functions.numbers import round_half_away, text_to_integer
 from tallyroll.operators.dedup import keep_first
-from tallyroll.schemas import SOURCE_FILES, STATUSES
+from tallyroll.schemas import SOURCE_FILES, STATUSES, UTC_NOW
 
 
 def _audit(entity: str, batch_passed: bool | Column) -> list[Column]:
     verdict = batch_passed if isinstance(batch_passed, Column) else F.lit(batch_passed)
     return [
-        F.current_timestamp().cast("timestamp_ntz").alias("_ingested_at"),
+        F.expr(UTC_NOW).alias("_ingested_at"),
         F.lit(SOURCE_FILES[entity]).alias("_source"),
         verdict.cast("boolean").alias("_ge_passed"),
     ]

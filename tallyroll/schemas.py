@@ -72,7 +72,8 @@ class Contract:
         return ", ".join(f"{f.name} {f.type}" for f in self.fields)
 
 
-_NOW = "cast(current_timestamp() as timestamp_ntz)"
+# The time in UTC, whatever the zone of the session.
+UTC_NOW = "timestampadd(MICROSECOND, unix_micros(current_timestamp()), timestamp_ntz'1970-01-01 00:00:00')"
 
 
 def _text(name: str, length: int, **more) -> Field:
@@ -89,7 +90,7 @@ DIM_STUDENTS = Contract(
         Field("grade_level", "int"),
         _text("enrollment_status", 20),
         Field("updated_at", "timestamp_ntz"),
-        Field("_ingested_at", "timestamp_ntz", default=_NOW),
+        Field("_ingested_at", "timestamp_ntz", default=UTC_NOW),
     ),
     sort=("student_id",),
 )
@@ -104,7 +105,7 @@ FACT_ATTENDANCE = Contract(
         Field("attendance_date", "date"),
         _text("status", 10, allowed=STATUSES),
         Field("created_at", "timestamp_ntz"),
-        Field("_ingested_at", "timestamp_ntz", default=_NOW),
+        Field("_ingested_at", "timestamp_ntz", default=UTC_NOW),
     ),
     sort=("attendance_date", "student_id"),
 )
@@ -122,7 +123,7 @@ FACT_ASSESSMENTS = Contract(
         Field("normalized_score", "decimal(6,2)"),
         Field("assessment_date", "date"),
         Field("created_at", "timestamp_ntz"),
-        Field("_ingested_at", "timestamp_ntz", default=_NOW),
+        Field("_ingested_at", "timestamp_ntz", default=UTC_NOW),
     ),
     sort=("assessment_date", "student_id"),
 )
@@ -141,7 +142,7 @@ MART = Contract(
         Field("students_with_assessment", "int", default="0"),
         Field("assessment_count", "int", default="0"),
         Field("avg_score", "decimal(6,2)", nullable=True, default="0.00"),
-        Field("_computed_at", "timestamp_ntz", default=_NOW),
+        Field("_computed_at", "timestamp_ntz", default=UTC_NOW),
     ),
     sort=("date", "class_id"),
 )

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,10 +41,20 @@ def local_session(cpus: int | None = None, app: str = "tallyroll") -> SparkSessi
     return spark
 
 
+def check_settings(spark: SparkSession) -> None:
+    """Refuses a session under which a bad cast would turn into NULL without a word."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled to true")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only for local runs."""
+    """The folder for intermediate tables that all executors reach.
+
+    That is the one given to ``setCheckpointDir``, else the session's
+    ``spark.checkpoint.dir``; a folder of our own only for local runs.
+    """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
@@ -51,11 +63,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written_once(df: DataFrame) -> DataFrame:
-    """``df`` computed now, as Parquet in the shared folder, for plans that read it several times.
+def new_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is there goes when the application ends."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
+@contextmanager
+def written_once(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed now, as Parquet in the shared folder, and deleted after use.
 
-    It survives lost executors, and each later read takes only its own columns.
+    It survives lost executors, and each read takes only its own columns.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

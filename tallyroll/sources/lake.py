@@ -1,7 +1,7 @@
 """The layers on storage.
 
 Bronze, Silver and rejected batches are Parquet folders, one per entity and run
-date; a rerun replaces its own folder. A Gold table is a folder of versions; a
+date; a rerun replaces its own folder once its rows are written and accepted. A Gold table is a folder of versions; a
 version counts once its marker file exists, so readers never see a load that
 failed or is still being written.
 """
@@ -9,13 +9,15 @@ failed or is still being written.
 from __future__ import annotations
 
 import logging
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.operators.merge import repeated_keys, upsert
-from tallyroll.plans.gold import typed, with_defaults
+from tallyroll.plans.gold import typed_if_possible, with_defaults
 from tallyroll.plans.quality import broken_row_counts, contract_rules
 from tallyroll.schemas import CONTRACTS, ENTITIES, Contract
 
@@ -42,17 +44,51 @@ class Lake:
     def batch_path(self, layer: str, entity: str, run_date: str) -> str:
         return f"{self.root}/{layer}/{entity}/run_date={run_date}"
 
-    def write_batch(self, df: DataFrame, layer: str, entity: str, run_date: str) -> int:
+    def write_batch(
+        self,
+        df: DataFrame,
+        layer: str,
+        entity: str,
+        run_date: str,
+        accept: Callable[[dict[str, int]], None] | None = None,
+    ) -> int:
         """Replace one batch, also by an empty one; returns the rows written.
 
-        The count is taken in the stage that writes, where a retried task is
-        counted once.
+        Rows go to a folder of their own first. The counts (``rows``, and the
+        filled cells of every column) are taken in the stage that writes, where a
+        retried task is counted once; ``accept`` may raise over them. Only then
+        does the new folder take the place of the old one.
         """
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            self.batch_path(layer, entity, run_date)
-        )
-        return seen.get["rows"]
+        filled = [F.count(F.col(c)).alias(c) for c in df.columns] if accept else []
+        aside = f"{self.root}/_aside/{uuid.uuid4().hex}"
+        try:
+            df.observe(seen, F.count(F.lit(1)).alias("rows"), *filled).write.parquet(aside)
+            counts = seen.get
+            if accept:
+                accept(counts)
+            self._swap(aside, self.batch_path(layer, entity, run_date))
+        finally:
+            self._remove(aside)
+        return counts["rows"]
+
+    def _swap(self, new: str, place: str) -> None:
+        """Moves a folder to its place; what was there goes only after that."""
+        fs, target = self._path(place)
+        old = f"{new}-before"
+        fs.mkdirs(target.getParent())
+        moved = fs.exists(target)
+        if moved and not fs.rename(target, self._path(old)[1]):
+            raise OSError(f"{place} could not be moved aside")
+        if not fs.rename(self._path(new)[1], target):
+            if moved:
+                fs.rename(self._path(old)[1], target)
+            raise OSError(f"{new} could not take the place of {place}")
+        self._remove(old)
+
+    def _remove(self, path: str) -> None:
+        fs, folder = self._path(path)
+        fs.delete(folder, True)
 
     def read_batch(self, layer: str, entity: str, run_date: str) -> DataFrame:
         return self.spark.read.parquet(self.batch_path(layer, entity, run_date))
@@ -116,19 +152,20 @@ class Lake:
     def replace_table(self, df: DataFrame, contract: Contract) -> int:
         """Load a whole table; returns its rows, 0 when the input was empty and nothing changed.
 
-        The candidate version is written once, its rule violations are counted
-        in the stage that writes it, and only its key columns are read back for
-        the key check. It goes live only if no rule is broken.
+        The candidate version is written once, range-partitioned by the sort order
+        of the table, so that a day is in few files. Its rule violations are counted
+        in the stage that writes it (behind that shuffle, whose sampling would count
+        rows twice), and only its key columns are read back for the key check. It
+        goes live only if no rule is broken.
         """
         table = contract.table
         rules = contract_rules(contract)
         seen = Observation()
-        judged = with_defaults(df, contract).observe(
-            seen, F.count(F.lit(1)).alias("rows"), *broken_row_counts(rules)
-        )
+        laid = with_defaults(df, contract).repartitionByRange(*contract.sort).sortWithinPartitions(*contract.sort)
+        judged = laid.observe(seen, F.count(F.lit(1)).alias("rows"), *broken_row_counts(rules))
         version = max([v for v, _ in self._versions(table)], default=0) + 1
         path = self._version_path(table, version)
-        typed(judged, contract).sortWithinPartitions(*contract.sort).write.mode("error").parquet(path)
+        typed_if_possible(judged, contract).write.mode("error").parquet(path)
 
         counts = seen.get
         if counts["rows"] == 0:
@@ -149,23 +186,29 @@ class Lake:
     def upsert_table(self, df: DataFrame, contract: Contract) -> int:
         """Merge rows by key and publish the result; returns the rows of ``df``.
 
-        The batch is written to a side folder first, so it is computed once. The
+        The batch is written to a folder of its own first, so it is computed once. The
         merge reads the live version and writes the next: nothing is overwritten
         while it is read. A key twice in ``df`` is refused.
         """
         table = contract.table
-        rows = self.write_batch(df, "incoming", table, "current")
-        if rows == 0:
-            return 0
-        batch = self.read_batch("incoming", table, "current")
-        repeated = repeated_keys(batch, contract.key).agg(F.sum("n")).first()[0]
-        if repeated:
-            raise ContractViolation(table, {"key repeated in one batch": repeated})
-        if self.live_version(table) is None:
-            return self.replace_table(batch, contract)
-        defaults = {f.name: F.expr(f.default) for f in contract.fields if f.default is not None}
-        self.replace_table(upsert(self.read_table(table), batch, contract.key, defaults), contract)
-        return rows
+        aside = f"{self.root}/_aside/{uuid.uuid4().hex}"
+        seen = Observation()
+        try:
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(aside)
+            rows = seen.get["rows"]
+            if rows == 0:
+                return 0
+            batch = self.spark.read.schema(df.schema).parquet(aside)
+            repeated = repeated_keys(batch, contract.key).agg(F.sum("n")).first()[0]
+            if repeated:
+                raise ContractViolation(table, {"key repeated in one batch": repeated})
+            if self.live_version(table) is None:
+                return self.replace_table(batch, contract)
+            defaults = {f.name: F.expr(f.default) for f in contract.fields if f.default is not None}
+            self.replace_table(upsert(self.read_table(table), batch, contract.key, defaults), contract)
+            return rows
+        finally:
+            self._remove(aside)
 
     # --- SQL names ----------------------------------------------------------
     def register_views(self, run_date: str | None = None) -> list[str]:
