@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
@@ -14,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyroll.session import shared_folder
+from tallyroll.session import new_folder
 
 # Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,10 +43,8 @@ def written(df: DataFrame) -> DataFrame:
     the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -55,9 +52,10 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def words(text: Column) -> Column:
-    """The words of a text as an array; empty for NULL."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` and the whole row as ``_row``, so that no name of the row can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(*[column.alias(name) for name, column in columns.items()], row.alias("_row"))
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
@@ -102,6 +100,26 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], value
     )
 
 
+_MAP_BITS = 22  # 65,536 words of 64 bits at most
+
+
+def maybe_among(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """Rows of ``df`` whose key may occur in ``wanted``: all that do, and few others.
+
+    The keys of ``wanted`` set bits of a map of fixed size, half a megabyte, which
+    is broadcast. It keeps wide rows out of the shuffle of an exact join that
+    follows. The more keys there are, the less it holds back; it never loses a row.
+    """
+    def place(k: Column) -> Column:
+        return F.xxhash64(k).bitwiseAND(F.lit((1 << _MAP_BITS) - 1))
+
+    bits = wanted.select(place(wanted_key).alias("_at")).groupBy((F.expr("_at div 64")).alias("_word"))
+    table = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(_at % 64 as int))")).alias("_bits"))
+    marked = df.withColumn("_at", place(key)).withColumn("_word", F.expr("_at div 64"))
+    hit = F.expr("shiftrightunsigned(_bits, cast(_at % 64 as int)) & 1L") == 1
+    return marked.join(F.broadcast(table), "_word").where(hit).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 # --- inside tasks -----------------------------------------------------------
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
