@@ -390,6 +390,23 @@ def _build() -> dict[str, str]:
         for e in _ENTITIES
     )
 
+    shown = {
+        "students": ("student_id", "enrollment_status"),
+        "attendance": ("attendance_id", "status"),
+        "assessments": ("assessment_id", "subject"),
+    }
+    q["rejected_rows"] = _union(
+        f"SELECT '{e}' AS entity, {record} AS record_id, student_id, {detail} AS detail FROM raw_{e} WHERE NOT {_verdict(e)}"
+        for e, (record, detail) in shown.items()
+    )
+    for e in _ENTITIES:
+        file = "assessments.json" if e == "assessments" else f"{e}.csv"
+        q[f"landed_{e}"] = f"SELECT *, '{file}' AS _source_file FROM raw_{e}"
+    q["typed_sources"] = _union(
+        f"SELECT '{t}' AS table_name, COUNT({c}) AS filled, MIN({c}) AS least, MAX({c}) AS most FROM raw_{t}"
+        for t, c in (("students", "grade_level"), ("assessments", "assessment_id"))
+    )
+
     q["gold_dim_students"] = f"SELECT {_DIM_TEXT}, {_text('updated_at')} FROM silver_students"
     q["gold_fact_attendance"] = (
         f"SELECT attendance_id, student_id, class_id, status, {_text('attendance_date', 'created_at')} "
@@ -431,6 +448,8 @@ def _build() -> dict[str, str]:
         UNION ALL
         SELECT class_id, date::VARCHAR, total_students, {seen}, attendance_rate, 0, 0, 0.0
         FROM rated WHERE date < DATE '{DAY}' AND students_with_attendance > 0"""
+    q["stored_fact_attendance"], q["stored_fact_assessments"] = q["gold_fact_attendance"], q["gold_fact_assessments"]
+    q["stored_mart"] = f"SELECT {_MART_COLUMNS}, '2025-01-01 00:00:00' AS _computed_at FROM rated"
     q["mart_ordered_head"] = f"SELECT {_MART_COLUMNS} FROM (SELECT * FROM rated ORDER BY class_id, date LIMIT 20)"
 
     q["class_avg_attendance"] = """

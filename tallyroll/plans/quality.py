@@ -171,14 +171,18 @@ def _labels(rule: Rule, seq: int) -> str:
     return f"{seq}, {_quoted(rule.name)}, {_quoted(rule.kind)}, {_quoted(rule.column)}"
 
 
-def _uniqueness(df: DataFrame, rule: Rule, seq: int) -> DataFrame:
-    columns = rule.column.split(",")
-    judged = " and ".join(["n > 1"] + ([] if rule.nulls_repeat else [f"{c} is not null" for c in columns]))
+def _uniqueness(df: DataFrame, column: str, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """All uniqueness rules of one key, from one count per key."""
+    columns = column.split(",")
+    filled = " and ".join(f"{c} is not null" for c in columns)
+    failed = [
+        F.expr(f"coalesce(sum(n) filter (where n > 1{'' if r.nulls_repeat else f' and {filled}'}), 0L) as failed_{i}")
+        for i, r in rules
+    ]
     counted = df.groupBy(*columns).agg(F.expr("count(1) as n"))
-    totals = counted.agg(
-        F.expr("coalesce(sum(n), 0L) as checked_rows"), F.expr(f"coalesce(sum(n) filter (where {judged}), 0L) as failed_rows")
-    )
-    return totals.selectExpr("checked_rows", f"stack(1, {_labels(rule, seq)}, failed_rows) as {_RESULT}")
+    totals = counted.agg(F.expr("coalesce(sum(n), 0L) as checked_rows"), *failed)
+    stacked = ", ".join(f"{_labels(r, i)}, failed_{i}" for i, r in rules)
+    return totals.selectExpr("checked_rows", f"stack({len(rules)}, {stacked}) as {_RESULT}")
 
 
 _RESULT = "(seq, rule, expectation, column_name, failed_rows)"
@@ -192,7 +196,11 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         counts = df.agg(F.expr("count(1) as checked_rows"), *broken_row_counts(rules))
         stacked = ", ".join(f"{_labels(r, i)}, broken_{i}" for i, r in row_rules)
         pieces.append(counts.selectExpr("checked_rows", f"stack({len(row_rules)}, {stacked}) as {_RESULT}"))
-    pieces += [_uniqueness(df, r, i) for i, r in enumerate(rules) if r.broken is None]
+    keys: dict[str, list[tuple[int, Rule]]] = {}
+    for i, r in enumerate(rules):
+        if r.broken is None:
+            keys.setdefault(r.column, []).append((i, r))
+    pieces += [_uniqueness(df, column, own) for column, own in keys.items()]
     return reduce(DataFrame.unionByName, pieces).selectExpr(
         "seq", "rule", "expectation", "column_name", "checked_rows", "failed_rows", "failed_rows = 0 as success"
     )
@@ -213,6 +221,19 @@ def summarise(results: DataFrame, engine: str = "primary") -> DataFrame:
     )
 
 
+def summarise_both(df: DataFrame, primary: Sequence[Rule], fallback: Sequence[Rule]) -> DataFrame:
+    """One row per suite, from one pass over the rows and one per key for both together."""
+    first = F.col("seq") < len(primary)
+    named = F.when(F.col("success"), None).otherwise(F.struct("seq", F.when(first, F.col("expectation")).otherwise(F.col("rule")).alias("name")))
+    results = evaluate(df, [*primary, *fallback]).withColumn("failed", named)
+    return results.groupBy(F.when(first, "primary").otherwise("fallback").alias("engine")).agg(
+        F.expr("count_if(not success) = 0 as success"),
+        F.expr("count(1) as evaluated_expectations"),
+        F.expr("count_if(not success) as unsuccessful_expectations"),
+        F.expr("array_sort(collect_list(failed)).name as failed_expectations"),
+    )
+
+
 def passed(df: DataFrame, rules: Sequence[Rule]):
     """The batch verdict as a scalar subquery, for plans that must stay lazy."""
     return summarise(evaluate(df, rules)).select("success").scalar()

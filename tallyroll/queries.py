@@ -14,6 +14,7 @@ from tallyroll import fixtures
 from tallyroll.operators.lookup import orphan_keys, orphan_rows
 from tallyroll.operators.merge import reload_or_keep, upsert
 from tallyroll.plans import gold, mart, profiling, quality, reports
+from tallyroll.plans.runner import Pipeline
 from tallyroll.plans.silver import SILVER
 from tallyroll.schemas import (
     CONTRACTS,
@@ -23,13 +24,15 @@ from tallyroll.schemas import (
     FACT_ATTENDANCE,
     SOURCE_FILES,
 )
-from tallyroll.sources.files import with_audit
+from tallyroll.session import new_folder
+from tallyroll.sources.files import read_csv_typed, read_json_typed, with_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2024-01-10"
 CLASS = "CLASS-01"
 LANDED_AT = datetime(2025, 1, 1)
+RUN_DATE = "2025-01-01"
 
 QUERIES: dict[str, Query] = {}
 
@@ -151,23 +154,11 @@ def suite_results(spark, sf_dir):
     t = _Tables(spark, sf_dir)
     parts = []
     for entity in ENTITIES:
-        suites = {
-            "primary": t.rules(entity),
-            "fallback": quality.fallback_suite(entity, student_id=fixtures.STUDENT_ID),
-        }
-        for engine, rules in suites.items():
-            summary = quality.summarise(quality.evaluate(t.raw(entity), rules), engine)
-            failed = F.array_join("failed_expectations", ",").alias("failed_expectations")
-            parts.append(
-                summary.select(
-                    F.lit(entity).alias("entity"),
-                    "engine",
-                    "success",
-                    "evaluated_expectations",
-                    "unsuccessful_expectations",
-                    failed,
-                )
-            )
+        fallback = quality.fallback_suite(entity, student_id=fixtures.STUDENT_ID)
+        both = quality.summarise_both(t.raw(entity), t.rules(entity), fallback)
+        failed = F.array_join("failed_expectations", ",").alias("failed_expectations")
+        counts = ["success", "evaluated_expectations", "unsuccessful_expectations"]
+        parts.append(both.select(F.lit(entity).alias("entity"), "engine", *counts, failed))
     return _union(parts)
 
 
@@ -210,6 +201,102 @@ def ge_passed_rollup(spark, sf_dir):
     return _union([reports.audit_rollup(p) for p in parts])
 
 
+# --- the stored path: files, Bronze, Silver, Gold, views -----------------------
+def _stored(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """The whole tables written out as source files, under a pipeline of their own."""
+    root = new_folder(spark)
+    for entity in ENTITIES:
+        raw, path = fixtures.raw(spark, sf_dir, entity), f"{root}/in/{SOURCE_FILES[entity]}"
+        if path.endswith(".json"):
+            raw.write.json(path)
+        else:
+            blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            raw.write.options(header=True, **blanks).csv(path)
+    patterns = {"student_id": fixtures.STUDENT_ID}
+    return Pipeline(spark, f"{root}/in", f"{root}/lake", patterns=patterns, json_lines=True)
+
+
+def _landed(entity: str) -> Query:
+    def run(spark, sf_dir):
+        pipeline = _stored(spark, sf_dir)
+        pipeline.ingest(entity, RUN_DATE)
+        return pipeline.lake.read_batch("bronze", entity, RUN_DATE).drop("_raw_ingested_at")
+
+    run.__name__ = f"landed_{entity}"
+    return run
+
+
+for _entity in ENTITIES:
+    query(_landed(_entity))
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    """Every row of the batches that failed validation, from the folder they are kept in."""
+    pipeline = _stored(spark, sf_dir)
+    shown = {
+        "students": ("student_id", "enrollment_status"),
+        "attendance": ("attendance_id", "status"),
+        "assessments": ("assessment_id", "subject"),
+    }
+    parts = []
+    for entity, (record, detail) in shown.items():
+        pipeline.ingest(entity, RUN_DATE)
+        if not pipeline.transform(entity, RUN_DATE)["validation"]["success"]:
+            rows = pipeline.lake.read_batch("rejected", entity, RUN_DATE)
+            parts.append(
+                rows.select(
+                    F.lit(entity).alias("entity"), F.col(record).alias("record_id"), "student_id", F.col(detail).alias("detail")
+                )
+            )
+    return _union(parts)
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> Pipeline:
+    pipeline = _stored(spark, sf_dir)
+    for entity in ENTITIES:
+        pipeline.ingest(entity, RUN_DATE)
+        pipeline.transform(entity, RUN_DATE)
+    pipeline.load_dim_students(RUN_DATE)
+    pipeline.load_fact_attendance(RUN_DATE)
+    pipeline.load_fact_assessments(RUN_DATE)
+    return pipeline
+
+
+@query
+def stored_fact_attendance(spark, sf_dir):
+    return _loaded(spark, sf_dir).lake.read_table(FACT_ATTENDANCE.table).drop("_ingested_at")
+
+
+@query
+def stored_fact_assessments(spark, sf_dir):
+    return _loaded(spark, sf_dir).lake.read_table(FACT_ASSESSMENTS.table).drop("_ingested_at")
+
+
+@query
+def stored_mart(spark, sf_dir):
+    """The mart as a whole run leaves it, asked by its SQL name."""
+    pipeline = _loaded(spark, sf_dir)
+    pipeline.compute_mart(LANDED_AT)
+    pipeline.lake.register_views(RUN_DATE)
+    return spark.sql("SELECT * FROM mart_class_daily_performance")
+
+
+@query
+def typed_sources(spark, sf_dir):
+    """Ranges of numbers that a typed read of the files finds."""
+    folder = _stored(spark, sf_dir).source_dir
+    frames = {
+        "students": (read_csv_typed(spark, f"{folder}/students.csv"), "grade_level"),
+        "assessments": (read_json_typed(spark, f"{folder}/assessments.json", json_lines=True), "assessment_id"),
+    }
+    parts = []
+    for name, (df, column) in frames.items():
+        bounds = [f(F.col(column).cast("string")).alias(n) for n, f in (("least", F.min), ("most", F.max))]
+        parts.append(df.agg(F.lit(name).alias("table_name"), F.count(column).alias("filled"), *bounds))
+    return _union(parts)
+
+
 # --- Gold -------------------------------------------------------------------
 @query
 def gold_dim_students(spark, sf_dir):

@@ -1,15 +1,17 @@
 """Files, batch folders, Gold versions and the whole run."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroll import fixtures
 from tallyroll.plans import profiling
+from tallyroll.plans.gold import typed, with_defaults
 from tallyroll.plans.runner import Pipeline
 from tallyroll.queries import QUERIES
-from tallyroll.schemas import DIM_STUDENTS, FACT_ATTENDANCE, MART, SOURCE_COLUMNS
+from tallyroll.schemas import CONTRACTS, DIM_STUDENTS, FACT_ATTENDANCE, MART, SOURCE_COLUMNS, UTC_NOW
 from tallyroll.sources.files import (
     MissingColumn,
     read_csv_text,
@@ -219,11 +221,8 @@ def test_whole_run(spark, tmp_path):
 
     views = pipeline.lake.register_views(DAY)
     assert "mart_class_daily_performance" in views and "silver_students" in views
-    top = spark.sql(
-        "SELECT fa.student_id, ROUND(AVG(fa.score), 2) AS avg_score FROM fact_assessments fa "
-        "JOIN dim_students ds ON fa.student_id = ds.student_id GROUP BY fa.student_id ORDER BY avg_score DESC LIMIT 5"
-    )
-    assert [r.student_id for r in top.collect()] == ["S-0002"]
+    graded = spark.sql("SELECT grade_level, max(score) AS best FROM fact_assessments JOIN dim_students USING (student_id) GROUP BY ALL")
+    assert [(r.grade_level, float(r.best)) for r in graded.collect()] == [(11, 70.0)]
 
 
 def test_profiles_of_typed_files(spark, tmp_path):
@@ -292,9 +291,77 @@ def test_an_orphan_stops_the_load(spark, tmp_path):
 
 def test_absent_json_key_stops_before_silver(spark, tmp_path):
     folder = sources(tmp_path / "in")
+    pipeline = Pipeline(spark, folder, str(tmp_path / "lake"))
+    pipeline.ingest("assessments", DAY)
+    before = sorted(map(tuple, pipeline.lake.read_batch("bronze", "assessments", DAY).collect()))
     write(tmp_path / "in", "assessments.json", json.dumps([{"assessment_id": "E1", "student_id": "S-0001"}]))
     with pytest.raises(MissingColumn, match="subject"):
-        Pipeline(spark, folder, str(tmp_path / "lake")).ingest("assessments", DAY)
+        pipeline.ingest("assessments", DAY)
+    assert sorted(map(tuple, pipeline.lake.read_batch("bronze", "assessments", DAY).collect())) == before
+    assert list((tmp_path / "lake" / "_aside").glob("*")) == []
+
+    # A key that is there, but null in every record, is data.
+    rows = [dict(zip(SOURCE_COLUMNS["assessments"], [*r[:2], None, *r[3:]])) for r in ASSESSMENTS]
+    write(tmp_path / "in", "assessments.json", json.dumps(rows))
+    pipeline.ingest("assessments", DAY)
+    assert {r.subject for r in pipeline.lake.read_batch("bronze", "assessments", DAY).collect()} == {None}
+
+
+def test_a_failing_rerun_leaves_the_batch(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write_batch(spark.range(5), "silver", "students", DAY)
+    with pytest.raises(Exception, match="boom"):
+        lake.write_batch(spark.range(9).selectExpr("if(id = 8, raise_error('boom'), id) as id"), "silver", "students", DAY)
+    assert lake.read_batch("silver", "students", DAY).count() == 5
+    with pytest.raises(Exception, match="boom"):
+        lake.upsert_table(dim(spark, student("S-1")).selectExpr("* except (class_id)", "raise_error('boom') as class_id"), DIM_STUDENTS)
+    assert list((tmp_path / "_aside").glob("*")) == []
+
+
+def test_gold_files_hold_few_days(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    rows = spark.range(3000).selectExpr(
+        "concat('A', id) as attendance_id", "concat('S', id % 100) as student_id", "'C' as class_id",
+        "date_add(date'2024-01-01', cast(id * 7919 % 30 as int)) as attendance_date", "'PRESENT' as status",
+        "timestamp_ntz'2024-01-01 00:00:00' as created_at",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert lake.replace_table(rows.repartition(6), FACT_ATTENDANCE) == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = lake.read_table(FACT_ATTENDANCE.table).groupBy(F.col("_metadata.file_path")).agg(
+        F.min("attendance_date").alias("low"), F.max("attendance_date").alias("high")
+    )
+    spans = sorted((r.low, r.high) for r in files.collect())
+    assert len(spans) > 4
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_stamps_are_utc_and_casts_strict(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = spark.range(1).select(F.expr(UTC_NOW).alias("t")).first().t
+        assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - stamp).total_seconds()) < 120
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    wide = spark.createDataFrame([("C", 123456.0)], "class_id string, avg_score double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        typed(with_defaults(wide, MART).withColumn("date", F.lit("2024-01-01")), MART).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            Pipeline(spark, str(tmp_path), str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_gold_types(spark, tmp_path):
+    pipeline = Pipeline(spark, sources(tmp_path / "in"), str(tmp_path / "lake"))
+    pipeline.run(DAY)
+    for contract in CONTRACTS.values():
+        assert pipeline.lake.read_table(contract.table).dtypes == [(f.name, f.type) for f in contract.fields]
 
 
 def test_fallback_engine_and_own_patterns(spark, tmp_path):

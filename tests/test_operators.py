@@ -8,12 +8,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyroll.functions.numbers import text_mean
 from tallyroll.operators.dedup import duplicate_summary, duplicated_rows
-from tallyroll.operators.distribution import equal_width_histogram, exact_quantiles, running_total
+from tallyroll.operators.distribution import describe_numbers, equal_width_histogram, exact_quantiles, in_ranges, running_total
 from tallyroll.operators.lookup import orphan_keys, orphan_rows
 from tallyroll.operators.merge import reload_or_keep, repeated_keys, upsert
 from tallyroll.plans import mart, profiling, reports
 from tallyroll.schemas import SOURCE_COLUMNS, text_schema
+from tallyroll.session import written_once
 
 
 def as_dict(df):
@@ -85,7 +87,8 @@ def test_quantiles_match_linear_interpolation(spark, seed):
 def test_running_total_over_many_ranges(spark):
     rows = [(i, i % 7) for i in range(2000)]
     random.Random(3).shuffle(rows)
-    got = as_dict(running_total(spark.createDataFrame(rows, "k int, n int"), "k", "n", "t").select("k", "t"))
+    with written_once(in_ranges(spark.createDataFrame(rows, "k int, n int"), "k")) as written:
+        got = as_dict(running_total(written, "k", "n", "t").select("k", "t"))
     total, expected = 0, {}
     for k, n in sorted(rows):
         total += n
@@ -154,16 +157,34 @@ def test_mart_keys_are_the_union_of_fact_keys(spark):
 
 
 # --- profiles and reports -------------------------------------------------------
-def test_status_signatures_spell_out_or_shorten(spark, monkeypatch):
+def test_status_signatures_have_one_form(spark):
     rows = [("A", "s1", "2024-01-01", s, "t") for s in ("PRESENT", "ABSENT")]
     rows += [("A", "s2", "2024-01-01", s, "t") for s in ("ABSENT", "PRESENT")]
     rows += [("A", "s3", "2024-01-01", "PRESENT", "t")] * 5
     rows += [("A", "s4", "2024-01-01", "PRESENT", "t")]
     df = spark.createDataFrame(rows, text_schema(SOURCE_COLUMNS["attendance"]))
-    expected = {"ABSENT+PRESENT": 2, "+".join(["PRESENT"] * 5): 1}
-    assert as_dict(profiling.status_signatures(df)) == expected
-    monkeypatch.setattr(profiling, "SPELLED_OUT", 3)
-    assert as_dict(profiling.status_signatures(df)) == {"ABSENT+PRESENT": 2, "PRESENT*5": 1}
+    assert as_dict(profiling.status_signatures(df)) == {"ABSENT+PRESENT": 2, "+".join(["PRESENT"] * 5): 1}
+
+
+@pytest.mark.parametrize(
+    ("score", "most", "ok"),
+    [("100", "100", True), ("100.00000000001", "100", False), ("NaN", "100", False), ("abc", "100", False), ("4e-11", "5e-11", True)],
+)
+def test_scores_within_max_compares_as_doubles(spark, score, most, ok):
+    students = spark.createDataFrame([("s1", "n", "C", "10", "ACTIVE", "t")], text_schema(SOURCE_COLUMNS["students"]))
+    attendance = spark.createDataFrame([("A", "s1", "2024-01-01", "PRESENT", "t")], text_schema(SOURCE_COLUMNS["attendance"]))
+    rows = [("E", "s1", "Math", score, most, "2024-01-01", "t")]
+    assessments = spark.createDataFrame(rows, text_schema(SOURCE_COLUMNS["assessments"]))
+    checks = profiling.readiness({"students": students, "attendance": attendance, "assessments": assessments})
+    passed = {r.check: r.passed for r in checks.collect()}
+    assert passed.pop("scores_within_max") is ok and all(passed.values())
+
+
+def test_means_keep_small_numbers_and_skip_what_is_none(spark):
+    df = spark.createDataFrame([(t,) for t in ("0.00000000004", "0.00000000004", "NaN", "abc", None)], "score string")
+    assert df.agg(text_mean(F.col("score"))).first()[0] == pytest.approx(4e-11)
+    described = {r.statistic: r.value for r in describe_numbers(df, "score", 12).collect()}
+    assert (described["count"], described["50%"]) == (2, 4e-11)
 
 
 def test_class_without_present_rows_has_rate_zero(spark):
@@ -190,12 +211,14 @@ def test_pivot_can_look_up_its_columns(spark):
     assert profiling.subject_pivot(df, students, None).first().asDict() == {"class_id": "C1", "Art": 1.0}
 
 
-def test_report_labels_order_and_cap(spark):
+def test_report_labels_order_and_limit(spark):
     df = spark.createDataFrame([("a", 1, D1), ("b", 5, D1), ("b", 7, D2)], "g string, v int, d date")
     assert reports.metric("v", "SUM").label == "SUM(v)"
     rows = reports.report(df, [reports.metric("v", "SUM"), reports.metric("v", "COUNT", "n")], ["g"], row_limit=1)
     assert [r.asDict() for r in rows.collect()] == [{"g": "b", "SUM(v)": 12, "n": 2}]
     monthly = reports.report(df, [reports.metric("v", "MAX", "top")], time_column="d", grain="P1M")
     assert [tuple(r) for r in monthly.collect()] == [(D1, 7)]
-    wide = spark.range(reports.RESULT_CAP + 10)
-    assert reports.report(wide, columns=["id"], row_limit=10**6).count() == reports.RESULT_CAP
+    wide = spark.range(60_000)
+    assert reports.report(wide, columns=["id"]).count() == 60_000
+    assert reports.report(wide, [reports.metric("id", "SUM")], ["id"]).count() == 60_000
+    assert reports.report(wide, columns=["id"], row_limit=55_000).count() == 55_000
