@@ -59,11 +59,16 @@ def number_or_null(column: str) -> str:
 def text_mean(col: Column) -> Column:
     """Mean of a text or numeric score as a double, cells that are no number left out.
 
-    Round it where it is reported: the last bits of a sum depend on row order.
+    Report it through ``round_mean``: the last bits of a sum depend on row order.
     """
     return F.avg(F.nanvl(col.try_cast("double"), F.lit(None)))
 
 
+def round_mean(col: Column, digits: int) -> Column:
+    """A mean of doubles rounded half to even; four digits more come first, so that a tie is one for any row order."""
+    return round_half_even(round_half_even(col, digits + 4), digits)
+
+
 def text_to_integer(col: Column) -> Column:
     """Whole number from text; ``'10'`` and ``'10.0'`` both give 10."""
     return F.round(F.trim(col).cast("double"), 0).cast("int")

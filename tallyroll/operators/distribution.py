@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroll.functions.numbers import number_or_null, round_half_even, text_mean
+from tallyroll.functions.numbers import number_or_null, round_half_even, round_mean, text_mean
 from tallyroll.session import written_once
 
 
@@ -21,7 +21,7 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFra
     every row.
     """
     x = F.expr(number_or_null(column))
-    low, high, mean = df.agg(F.min(x), F.max(x), round_half_even(text_mean(F.col(column)), 6)).first()
+    low, high, mean = df.agg(F.min(x), F.max(x), round_mean(text_mean(F.col(column)), 6)).first()
     if low == high and low is not None:
         low, high = low - 0.5, high + 0.5
     lo, hi = F.lit(low).cast("double"), F.lit(high).cast("double")

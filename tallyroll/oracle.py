@@ -291,7 +291,7 @@ def _duplicates_of(table: str, *keys: str) -> str:
 
 
 def _mean(column: str = "score") -> str:
-    return f"ROUND_EVEN(AVG(CAST({column} AS DOUBLE)), 6)"
+    return f"ROUND_EVEN(ROUND_EVEN(AVG(CAST({column} AS DOUBLE)), 10), 6)"
 
 
 _SOURCE_COLUMNS = {
@@ -555,13 +555,13 @@ def _build() -> dict[str, str]:
     q["class_subject_pivot"] = (
         "SELECT s.class_id, "
         + ", ".join(
-            f"ROUND_EVEN(AVG(CAST(a.score AS DOUBLE)) FILTER (a.subject = '{name}'), 2) AS \"{name}\""
+            f"ROUND_EVEN(ROUND_EVEN(AVG(CAST(a.score AS DOUBLE)) FILTER (a.subject = '{name}'), 6), 2) AS \"{name}\""
             for name in ("Math", "Science", "English", "History")
         )
         + " FROM latest_assessments a JOIN raw_students s ON a.student_id = s.student_id GROUP BY s.class_id"
     )
     q["daily_score_trend"] = f"""
-        SELECT assessment_date, mean_score, ROUND_EVEN(AVG(mean_score) OVER (), 6) AS mean_of_days
+        SELECT assessment_date, mean_score, ROUND_EVEN(ROUND_EVEN(AVG(mean_score) OVER (), 10), 6) AS mean_of_days
         FROM (SELECT assessment_date, {_mean()} AS mean_score FROM latest_assessments GROUP BY assessment_date)"""
     for e, name in (("attendance", "orphan_attendance_rows"), ("assessments", "orphan_assessment_rows")):
         q[name] = f"SELECT * FROM raw_{e} WHERE student_id NOT IN (SELECT student_id FROM enrolled)"

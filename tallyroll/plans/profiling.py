@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.functions.numbers import number_or_null, round_half_even, text_mean
+from tallyroll.functions.numbers import number_or_null, round_half_even, round_mean, text_mean
 from tallyroll.operators.dedup import duplicate_summary, duplicated_rows, keep_first, key_counts
 from tallyroll.operators.distribution import describe_numbers, equal_width_histogram
 from tallyroll.operators.lookup import orphan_total
@@ -189,7 +189,7 @@ def score_histogram(assessments: DataFrame) -> DataFrame:
 def subject_means(assessments: DataFrame) -> DataFrame:
     return (
         assessments.groupBy("subject")
-        .agg(round_half_even(text_mean(F.col("score")), 6).alias("mean_score"))
+        .agg(round_mean(text_mean(F.col("score")), 6).alias("mean_score"))
         .orderBy(F.col("mean_score").desc_nulls_last(), "subject")
     )
 
@@ -200,9 +200,9 @@ def daily_means(assessments: DataFrame) -> DataFrame:
     daily = (
         latest_assessments(assessments)
         .groupBy(day.alias("assessment_date"))
-        .agg(round_half_even(text_mean(F.col("score")), 6).alias("mean_score"))
+        .agg(round_mean(text_mean(F.col("score")), 6).alias("mean_score"))
     )
-    overall = daily.agg(round_half_even(F.avg("mean_score"), 6)).scalar()
+    overall = daily.agg(round_mean(F.avg("mean_score"), 6)).scalar()
     return daily.withColumn("mean_of_days", overall).orderBy("assessment_date")
 
 
@@ -213,7 +213,7 @@ def subject_pivot(assessments: DataFrame, students: DataFrame, subjects: Sequenc
     """
     scored = latest_assessments(assessments).join(students.select("student_id", "class_id"), "student_id")
     pivoted = scored.groupBy("class_id").pivot("subject", list(subjects) if subjects else None)
-    means = pivoted.agg(round_half_even(text_mean(F.col("score")), 2))
+    means = pivoted.agg(round_mean(text_mean(F.col("score")), 2))
     return means.orderBy("class_id")
 
 
