@@ -13,7 +13,7 @@ MOST_REPEATED = 50  # percent of words in repeated 3-word windows
 
 # Statistics as used by the outlier test, and the least spread that each is credited with:
 # log of the mean word length; arcsine roots of the shares of symbols, repeated lines and repeated words.
-SPREADS = {"word_length": 0.05, "symbols": 0.08, "lines": 0.15, "repeats": 0.15}
+SPREADS = {"word_length": 0.05, "symbols": 0.07, "lines": 0.2, "repeats": 0.2}
 DIMENSIONS = len(SPREADS)
 COVERED = 0.5  # share of rows whose covariance has the least determinant
 STEPS = 5

@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 from tallyroll.llm.common import row_slices, ship, text_or_empty
 
 FOLDS = 5
-# The model is fitted on at most this many labelled rows of each label, none longer than LONGEST characters.
+# The model is fitted on at most SAMPLE rows labelled 1 and twice as many labelled 0, none longer than LONGEST
+# characters. Near copies of a row already taken would count its words again and again, so they are passed over.
 SAMPLE, LONGEST = 1500, 20_000
+COPY_SHINGLES, COPY_SHARED = 32, 4
 FEATURE_BITS = 18
 PREFIXES, SUFFIX = (3, 4, 5), 3
 # A token of a toxic row is labelled toxic when it, or its beginning, is in this many of them at least,
 # and at this many times the rate of other rows.
 LEAST_ROWS, LEAST_RATIO = 5, 20.0
-EPOCHS, BATCH, RATE, DECAY = 6, 200, 0.1, 1e-6
-FAINT = 0.05  # marginals below this don't add up to a score
+EPOCHS, BATCH, RATE, DECAY = 5, 200, 0.1, 1e-5
+# Marginals below FAINT don't count; of the others, a sum of EVIDENCE makes a score of one half.
+FAINT, EVIDENCE = 0.05, 0.97
 _BATCH_BYTES = 4 << 20
 _KNOWN_WORDS = 200_000
 
@@ -109,6 +112,23 @@ def label_tokens(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     return out
 
 
+def without_copies(texts: list[str]) -> list[int]:
+    """Which texts to take so that no two share much: places in ``texts``.
+
+    A text is passed over when several of its least 3-word shingle hashes were
+    among those of texts taken before.
+    """
+    seen: set[int] = set()
+    taken = []
+    for i, text in enumerate(texts):
+        words = [w.lower() for w in TOKEN.findall(text)]
+        least = sorted({crc32(" ".join(words[k : k + 3]).encode()) for k in range(len(words) - 2)})[:COPY_SHINGLES]
+        if sum(h in seen for h in least) < COPY_SHARED:
+            seen.update(least)
+            taken.append(i)
+    return taken
+
+
 class TaggerModel:
     """Weights of the field: one per hashed feature, and the four transitions."""
 
@@ -179,8 +199,8 @@ def _score_batches(batches: Iterator[pa.RecordBatch], weights: np.ndarray, trans
             scores, spans = [], []
             for i, text in enumerate(texts):
                 p = marginals[begins[i] : begins[i + 1]]
-                clear = p[p >= FAINT]
-                scores.append(float(-np.expm1(np.log1p(-np.minimum(clear, 1 - 1e-12)).sum())))
+                toxic = float(p[p >= FAINT].sum())
+                scores.append(toxic / (toxic + EVIDENCE))
                 hits = p >= 0.5
                 spans.append(_merged(text, hits) if hits.any() else [])
             yield pa.RecordBatch.from_arrays(
@@ -212,25 +232,30 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[str, int]]:
-    """At most ``sample`` distinct texts of each label, in the order of a hash of their ids; never held-out rows."""
+    """At most ``sample`` texts labelled 1 and twice as many labelled 0, in the order of a hash of their ids.
+
+    Never held-out rows. Half as many texts again are gathered, since some are near copies.
+    """
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     ids = usable.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
     found = []
-    for y in (0, 1):
-        # Twice as many ids as wanted, since some texts are copies, too long or missing.
-        chosen = ids.where(F.col("_toxic") == y).distinct().orderBy(F.xxhash64("_id"), "_id").limit(2 * sample)
+    for y, most in ((0, 2 * sample), (1, sample)):
+        # More ids than wanted, since some texts are copies, too long or missing.
+        chosen = ids.where(F.col("_toxic") == y).distinct().orderBy(F.xxhash64("_id"), "_id").limit(2 * most)
         rows = docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("_id"))
         rows = rows.select("_id", F.col("text").cast("string").alias("text"), "_toxic")
         rows = rows.where(F.col("text").isNotNull() & (F.length("text") <= LONGEST)).dropDuplicates(["text"])
-        found += [(r["text"], r["_toxic"]) for r in rows.orderBy(F.xxhash64("_id"), "_id", "text").limit(sample).collect()]
+        texts = [r["text"] for r in rows.orderBy(F.xxhash64("_id"), "_id", "text").limit(most + most // 2).collect()]
+        found += [(texts[i], y) for i in without_copies(texts)[:most]]
     return found
 
 
 def score_documents(docs: DataFrame, model: TaggerModel) -> DataFrame:
     """doc_id, score, predicted and the toxic ``spans`` (character offsets) for every row of ``docs``.
 
-    The field runs over all words of the whole text. The score is the chance
-    that at least one word is toxic, over words whose marginal is not faint.
+    The field runs over all words of the whole text. The score is e / (e + EVIDENCE),
+    where e is the expected number of toxic words, without faint marginals: about
+    one sure word makes one half.
     NULL and empty texts score 0. Repeated rows are scored each.
     """
     ship(docs.sparkSession)
