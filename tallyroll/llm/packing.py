@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator, Mapping
-from functools import partial
+from functools import lru_cache, partial
 from zlib import crc32
 
 import numpy as np
@@ -31,24 +32,73 @@ class _WordIds:
     The tokenizer drops white space and never lets a token cross it, so the ids
     of a text are those of its words. Words are cut at the six ASCII blanks; other
     white space stays inside a word and is left to the tokenizer.
+
+    Most words are letters with ASCII punctuation behind them. The tokenizer
+    splits these there, so both parts are known by themselves, and many new
+    letter parts are encoded as one text: each ends with the one token that
+    closes a word.
     """
 
+    PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+    TOGETHER = 256
+
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in encoded]
+
+    def _learn_letters(self, parts: list[str]) -> None:
+        groups = [parts[i : i + self.TOGETHER] for i in range(0, len(parts), self.TOGETHER)]
+        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                data = ids.tobytes()
+                begins = [0, *(4 * ends[:-1]).tolist()]
+                self.parts.update((p, data[a:b]) for p, a, b in zip(group, begins, (4 * ends).tolist()))
+            else:
+                self.parts.update((p, i.tobytes()) for p, i in zip(group, self._encode(group)))
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, others = [], []
+        for word in words:
+            text = word.decode()
+            m = self.PLAIN.fullmatch(text)
+            # Only letters may share a pre-token; lower case is the tokenizer's own beyond ASCII.
+            if m and m[1].isalpha():
+                plain.append((word, m[1].lower() if m[1].isascii() else m[1], m[2]))
+            else:
+                others.append((word, text))
+        self._learn_letters(list({letters for _, letters, _ in plain}.difference(self.parts)))
+        tails = list({tail for _, _, tail in plain}.difference(self.parts))
+        self.parts.update((t, i.tobytes()) for t, i in zip(tails, self._encode(tails)))
+        self.known.update((word, self.parts[letters] + self.parts[tail]) for word, letters, tail in plain)
+        self.known.update((word, i.tobytes()) for (word, _), i in zip(others, self._encode([t for _, t in others])))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > _KNOWN_WORDS:
             self.known.clear()
+        if len(self.parts) > _KNOWN_WORDS:
+            self.parts = {"": b""}
         split = [t.split() for t in texts]
-        missing = list({w for words in split for w in words}.difference(self.known))
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        self.known.update(zip(missing, (np.array(e.ids, "<u4").tobytes() for e in encoded)))
+        self._learn(list({w for words in split for w in words}.difference(self.known)))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def _words_of(path: str) -> _WordIds:
+    """One memory per worker process, over all its tasks."""
+    return _WordIds(path)
+
+
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    words = _WordIds(path)
+    words = _words_of(path)
     end = np.array([END_ID], "<u4").tobytes()
     for whole in batches:
         for batch in row_slices(whole, 1, _BATCH_BYTES):
