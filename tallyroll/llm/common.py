@@ -103,8 +103,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], value
 _MAP_BITS = 22  # 65,536 words of 64 bits at most
 
 
-def maybe_among(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
-    """Rows of ``df`` whose key may occur in ``wanted``: all that do, and few others.
+def maybe_among(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, maybe: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key may occur in ``wanted``: all that do, and few others. Without ``maybe``: all other rows.
 
     The keys of ``wanted`` set bits of a map of fixed size, half a megabyte, which
     is broadcast. It keeps wide rows out of the shuffle of an exact join that
@@ -116,8 +116,8 @@ def maybe_among(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Colum
     bits = wanted.select(place(wanted_key).alias("_at")).groupBy((F.expr("_at div 64")).alias("_word"))
     table = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(_at % 64 as int))")).alias("_bits"))
     marked = df.withColumn("_at", place(key)).withColumn("_word", F.expr("_at div 64"))
-    hit = F.expr("shiftrightunsigned(_bits, cast(_at % 64 as int)) & 1L") == 1
-    return marked.join(F.broadcast(table), "_word").where(hit).select(*[F.col(f"`{c}`") for c in df.columns])
+    hit = F.expr("coalesce(shiftrightunsigned(_bits, cast(_at % 64 as int)) & 1L, 0L)") == int(maybe)
+    return marked.join(F.broadcast(table), "_word", "left").where(hit).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 # --- inside tasks -----------------------------------------------------------

@@ -2,49 +2,58 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import packed, text_or_empty, written
+from tallyroll.llm.common import maybe_among, packed, text_or_empty, written
 from tallyroll.llm.components import connected_components
 
 LEAST_WORDS = 4  # shorter lines stay: they repeat by chance
 SIMILARITY = 85  # percent: 100 * (1 - edits / longer length)
 # SimHashes of at most 2 different bits agree in two of four 16-bit blocks, whichever two: six keys of 32 bits.
 BLOCKS, MOST_BITS = 4, 2
-_PLANES = (5, 8, 16, 31)  # bit planes of the counters, by how many words a line has
-
+PART = 127  # words whose bit counts fit the bytes of a signed long
 
 def normalised(line: Column) -> Column:
     """Letters and digits only, in lower case, single spaces between words."""
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def simhash(words: str, planes: int) -> Column:
-    """64-bit SimHash of an array of words: bit b is set where more than half of the word hashes have it.
+_BYTES = 0x0101010101010101
+
 
-    The 64 counters are kept as bit planes: plane k holds bit k of every counter
-    in one long, and adding a hash is a ripple of carries through the planes.
-    The counters are then compared with half the number of words plane by plane.
+def simhashes(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and the 64-bit SimHash ``sim`` of every row's ``words``: bit b is set where most word hashes have it.
+
+    ``keys`` tell rows apart. Words are counted as rows of their own, in
+    generated code. Bits k, 8 + k, ... 56 + k of a hash are eight bytes of the long
+    (hash >> k) & 0x01..01, so eight sums count all 64 bits over up to 127 words; a
+    longer line has several such parts, whose counts are then added.
     """
-    names = [f"p{k}" for k in range(planes)]
-    carry, steps = "h", []
-    for name in names:
-        steps.append(f"(a.{name} ^ ({carry})) as {name}")
-        carry = f"{carry} & a.{name}"
-    added = f"aggregate(transform({words}, w -> xxhash64(w)), named_struct({', '.join(f'{n!r}, 0L' for n in names)}), "
-    # struct(...) names its fields by the aliases above.
-    added += f"(a, h) -> struct({', '.join(steps)}), a -> {{compare}})"
-    more, same = "0L", "-1L"
-    for k in reversed(range(planes)):
-        half = f"shiftright(shiftright(size({words}), 1), {k}) & 1"
-        wanted = f"if({half} = 1, -1L, 0L)"
-        more = f"({more} | ({same} & a.p{k} & ~{wanted}))"
-        same = f"({same} & ~(a.p{k} ^ {wanted}))"
-    return F.expr(added.format(compare=more))
+    words = lines.select(*keys, F.posexplode("words").alias("at", "word"))
+    words = words.select(*keys, F.expr(f"at div {PART}").alias("part"), F.xxhash64("word").alias("h"))
+    bits = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_BYTES))).alias(f"s{k}") for k in range(8)]
+    parts = words.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"), *bits)
+    parts = written(parts.withColumn("single", (F.col("part") == 0) & (F.col("n") < PART)))
+
+    def majority(count) -> Column:
+        total = F.lit(0).cast("long")
+        for k in range(8):
+            for i in range(8):
+                bit = 8 * i + k
+                value = (1 << bit) - (1 << 64 if bit == 63 else 0)
+                total = total.bitwiseOR(F.when(2 * count(k, i) > F.col("n"), F.lit(value).cast("long")).otherwise(F.lit(0).cast("long")))
+        return total.alias("sim")
+
+    def byte(k: int, i: int) -> Column:
+        return F.shiftrightunsigned(F.col(f"s{k}"), 8 * i).bitwiseAND(F.lit(255))
+
+    short = parts.where("single").select(*keys, majority(byte))
+    sums = [F.sum(byte(k, i)).alias(f"b{k}_{i}") for k in range(8) for i in range(8)]
+    added = parts.where("not single").groupBy(*keys).agg(F.sum("n").alias("n"), *sums)
+    return short.union(added.select(*keys, majority(lambda k, i: F.col(f"b{k}_{i}"))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -60,18 +69,17 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
     lines = lines.select("doc_id", "text_hash", "place", normalised(F.col("line")).alias("norm"))
     lines = lines.withColumn("words", F.split("norm", " ")).where(F.size("words") >= LEAST_WORDS)
-    hashed = F.when(F.size("words") < 2 ** _PLANES[0], simhash("words", _PLANES[0]))
-    for planes in _PLANES[1:-1]:
-        hashed = hashed.when(F.size("words") < 2**planes, simhash("words", planes))
-    hashed = hashed.otherwise(simhash("words", _PLANES[-1]))
-    return lines.select(
+    keyed = lines.select(
+        # Repeated rows have equal lines in equal places.
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         "text_hash",
         "place",
         F.xxhash64("norm").alias("class_a"),
-        F.xxhash64(F.lit("other"), F.reverse("norm")).alias("class_b"),
-        hashed.alias("sim"),
+        F.xxhash64(F.lit("other"), F.col("norm")).alias("class_b"),
+        "words",
     )
+    return simhashes(keyed, ["row", "doc_id", "text_hash", "place", "class_a", "class_b"]).drop("row")
 
 
 def _block_keys(sim: str) -> Column:
@@ -112,6 +120,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     # Only the documents that hold a line in question are read again, for its text.
     text = text_or_empty()
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
+    texts = maybe_among(texts, F.col("_hash"), firsts, F.col("text_hash"))
     ids = firsts.select("doc_id", "text_hash").distinct()
     texts = texts.join(ids, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")), "left_semi")
     placed = texts.select("_doc", "_hash", F.posexplode(F.split("_text", "\n")).alias("_place", "_line"))
@@ -126,8 +135,26 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     sides = pairs.join(norms.select(F.col("class").alias("a"), F.col("norm").alias("x")), "a").join(
         norms.select(F.col("class").alias("b"), F.col("norm").alias("y")), "b"
     )
-    longer = F.greatest(F.length("x"), F.length("y"))
-    return sides.where(100 * F.levenshtein("x", "y") <= (100 - SIMILARITY) * longer).select("a", "b")
+    return sides.where(_similar("x", "y")).select("a", "b")
+
+
+def _similar(x: str, y: str) -> Column:
+    """Whether the edit similarity of two texts is high enough.
+
+    Replacing word by word in place bounds the edit distance from above, in one
+    pass; where that is little enough, nothing else is needed. The banded edit
+    distance costs its bound times the length, and lines with close SimHashes mostly
+    differ little: small bounds are tried first.
+    """
+    in_place = (
+        f"aggregate(zip_with(split({x}, ' '), split({y}, ' '), (a, b) -> "
+        "if(a <=> b, 0, greatest(length(coalesce(a, '')), length(coalesce(b, ''))) + 1)), 0, (s, v) -> s + v)"
+    )
+    most = f"cast({100 - SIMILARITY} * greatest(length({x}), length({y})) div 100 as int)"
+    found = F.lit(False)
+    for bound in (most, f"least(512, {most})", f"least(32, {most})"):
+        found = F.when(F.expr(f"levenshtein({x}, {y}, {bound})") >= 0, F.lit(True)).otherwise(found)
+    return F.when(F.expr(f"{in_place} <= {most}"), F.lit(True)).otherwise(found)
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -151,7 +178,11 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     gone = written(repeated_lines(docs)).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     text = F.col("text").cast("string")
     rows = packed(docs, doc_id=F.col("doc_id").cast("long"), old=text, text_hash=F.xxhash64(text_or_empty()))
+    # Texts that surely lose no line stay out of the shuffle.
+    apart = maybe_among(rows, F.col("text_hash"), gone, F.col("_hash"), False)
+    rows = maybe_among(rows, F.col("text_hash"), gone, F.col("_hash"))
     rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left")
+    rows = rows.unionByName(apart, allowMissingColumns=True)
     split = F.split("old", "\n")
     left = F.filter(split, lambda line, i: ~F.array_contains(F.col("places"), i))
     return rows.select(
