@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tallyroll.llm.common import mix64, row_slices, ship, written
+from tallyroll.llm.common import maybe_among, mix64, packed, row_slices, ship, written
 from tallyroll.llm.components import connected_components
 
 SHINGLE = 5
 SIMILARITY = 75  # percent
 # At a similarity of 0.75 a pair shares none of 36 bands of 5 with probability 6e-5, at 0.8 with 6e-7.
 BANDS, ROWS = 36, 5
-STAR_ROUNDS = 2
 # Estimates from 180 minima spread by 0.032 at 0.75: this floor lies almost five of those below.
 LEAST_ESTIMATE = 0.60
+# Buckets of more than SMALL members are compared blockwise. There sets are held as 32-bit hashes, whose chance
+# meetings can shift a count a little: pairs within SLACK of the threshold go on to the full sets as well.
+SMALL, BLOCK, SLACK = 16, 256, 2
 
 _BATCH_BYTES = 4 << 20
 _KNOWN_WORDS = 300_000
@@ -114,7 +116,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             minima: list = [None] * len(sets)
             if filled:
                 found = _minima([sets[i] for i in filled])
-                short = (found >> np.uint64(48)).astype("<u2")
+                short = (found >> np.uint64(56)).astype(np.uint8)
                 for i, keys, row in zip(filled, _band_keys(found), short):
                     bands[i], minima[i] = keys, row.tobytes()
             names = [_identity(s) for s in sets]
@@ -150,7 +152,7 @@ def _estimate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for batch in batches:
         if not batch.num_rows:
             continue
-        left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1) for i in (2, 3))
+        left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
         agree = (left == right).mean(axis=1) >= LEAST_ESTIMATE
         kept = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
         yield kept.filter(pa.array(agree))
@@ -168,13 +170,47 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield kept.filter(pa.array(keep, pa.bool_()))
 
 
+def _short_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.unique(np.frombuffer(v.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32) for v in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "short"])
+
+
+def _block_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of two blocks of one bucket (or inside one block), of different components, that are links or almost.
+
+    A pair that shares several buckets is looked at only in that of its first common band.
+    """
+    key, first, second = (group.column(c)[0].as_py() for c in ("key", "first", "second"))
+    block, node, component = (group.column(c).to_numpy() for c in ("block", "node", "component"))
+    minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(len(node), -1)
+    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+    sets = [np.frombuffer(v.as_buffer(), np.uint32) for v in group.column("short")]
+    sizes = np.array([len(s) for s in sets])
+    a, b = [], []
+    for i in np.flatnonzero(block == first):
+        # Inside one block every pair would come twice.
+        likely = (block == second) & (component != component[i]) & ((first != second) | (node > node[i]))
+        likely &= 100 * np.minimum(sizes, sizes[i]) + 100 * SLACK >= SIMILARITY * np.maximum(sizes, sizes[i])
+        likely = np.flatnonzero(likely)
+        likely = likely[(minima[likely] == minima[i]).mean(axis=1) >= LEAST_ESTIMATE]
+        likely = likely[bands[i][(bands[likely] == bands[i]).argmax(axis=1)] == key]
+        for j in likely:
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True)) + SLACK
+            if 100 * common >= SIMILARITY * (sizes[i] + sizes[j] - common):
+                a.append(min(node[i], node[j]))
+                b.append(max(node[i], node[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 class _Links:
     """Verified links between the nodes (distinct shingle sets) of one run."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame):
-        self.docs, self.nodes = docs, nodes
+    def __init__(self, nodes: DataFrame, sets: DataFrame):
+        self.nodes, self.sets = nodes, sets
         self.tried: DataFrame | None = None
         self.links: DataFrame | None = None
+        self._parts: DataFrame | None = None
 
     def _sides(self, pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
         left = table.select(F.col("node").alias("a"), F.col(value).alias("_left"))
@@ -187,28 +223,66 @@ class _Links:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = written(pairs)
         likely = written(self._sides(pairs, self.nodes, "minima").mapInArrow(_estimate_batches, "a long, b long"))
-        wanted = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-        # Ids and set names only; the texts of these nodes are then read and hashed once more.
-        wanted = written(wanted.join(self.nodes.select("node", "least_doc", "set_a", "set_b"), "node"))
-        texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_doc")))
-        sets = texts.select("node", "set_a", "set_b", F.col("text").cast("binary").alias("text"))
-        sets = written(sets.mapInArrow(_set_batches, _SETS).dropDuplicates(["node"]))
-        found = written(self._sides(likely, sets, "shingles").mapInArrow(_verify_batches, "a long, b long"))
+        found = written(self._sides(likely, self.sets, "shingles").mapInArrow(_verify_batches, "a long, b long"))
         self.tried = pairs if self.tried is None else self.tried.union(pairs)
-        self.links = found if self.links is None else self.links.union(found)
-
-    def classes(self, members: DataFrame) -> DataFrame:
-        """``members`` (key, node) with the node's current component."""
-        if self.links is None:
-            return members.withColumn("component", F.col("node"))
-        parts = connected_components(self.links)
-        return members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if self.links is None or not found.isEmpty():
+            self.links = found if self.links is None else self.links.union(found)
+            self._parts = None
+
+    def components(self) -> DataFrame:
+        """(node, component) of all nodes with a link; found anew only after new links."""
+        if self._parts is None:
+            self._parts = connected_components(self.links)
+        return self._parts
+
+    def open_members(self, members: DataFrame) -> DataFrame:
+        """Members of buckets that hold more than one component, with their component."""
+        members = members.select("key", "node", "popularity").join(self.components(), "node", "left")
+        members = written(members.withColumn("component", F.coalesce("component", "node")))
+        spread = members.groupBy("key").agg(
+            (F.min("component") < F.max("component")).alias("open"), F.count(F.lit(1)).alias("members")
+        )
+        return written(members.join(written(spread.where("open").drop("open")), "key"))
+
+    def pairs_across(self, members: DataFrame) -> DataFrame:
+        """Pairs (a < b) of open buckets, of different components, that may be links.
+
+        A small bucket gives all its pairs, at most SMALL / 2 for a member. A large
+        one is cut into blocks; two blocks at a time are compared inside a task,
+        by signatures and then by sets, which gives out only links and near misses.
+        """
+        few = members.where(F.col("members") <= SMALL)
+        other = few.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
+        small = few.join(other, "key").where("node < other and component <> other_component")
+        many = members.where(F.col("members") > SMALL)
+        wanted = written(many.select("node").distinct())
+        short = self.sets.join(wanted, "node").mapInArrow(_short_batches, "node long, short binary")
+        held = written(short.join(self.nodes.select("node", "minima", "bands"), "node"))
+        blocks = F.expr(f"(members + {BLOCK - 1}) div {BLOCK}")
+        cut = many.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).join(held, "node")
+        cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        cut = cut.select(
+            "key",
+            F.least("block", "with").alias("first"),
+            F.greatest("block", "with").alias("second"),
+            *["block", "node", "component", "minima", "bands", "short"],
+        )
+        large = cut.groupBy("key", "first", "second").applyInArrow(_block_pairs, "a long, b long")
+        return small.select(F.col("node").alias("a"), F.col("other").alias("b")).union(large).distinct()
 
 
 def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of ``wanted`` (node, least_doc, set_a, set_b): only their texts are read again."""
+    texts = maybe_among(docs, F.col("doc_id"), wanted, F.col("least_doc"))
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_doc")))
+    texts = texts.select("node", "set_a", "set_b", F.col("text").cast("binary").alias("text"))
+    return written(texts.mapInArrow(_set_batches, _SETS).dropDuplicates(["node"]))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Documents linked when 100 * intersection >= 75 * union of their 5-word shingle sets.
 
@@ -217,9 +291,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Equal sets are one node, so copies cost nothing. Candidates share a band of
     minima. Linking every pair of a bucket would grow with its square, so each
-    bucket is first compared with one hub, twice with different hubs, and only
-    pairs of a bucket that are still in different components are compared with
-    each other: that finds every link that could join two components.
+    bucket is first compared with one hub: its most popular member, which shares
+    its bands with most others, as the origin of a family of edited copies does.
+    Members outside the hub's component are then compared with the most popular
+    of them, and only pairs of a bucket that are still in different components
+    with each other, blockwise where a bucket is large: that finds every link that
+    could join two components.
 
     NULL and blank texts have an empty set and stay alone. Rows with a NULL
     doc_id take part; a group without any doc_id has component_id NULL, and its
@@ -238,37 +315,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id())
     )
     exploded = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = written(
-        exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub")
-    )
-    members = written(exploded.join(hubs, "key"))
-    links = _Links(docs, nodes)
-    links.verify(members.where("node <> hub").select(*_ordered("hub", "node")).distinct())
-    for turn in range(1, STAR_ROUNDS):
-        members = written(links.classes(members.select("key", "node")))
-        order = F.xxhash64(F.lit(turn), F.col("node"))
-        best = F.min_by(F.struct("node", "component"), order)
-        hubs = written(
-            members.groupBy("key")
-            .agg(best.alias("hub"), (F.min("component") < F.max("component")).alias("open"))
-            .where("open")
-            .select("key", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
-        )
-        members = written(members.join(hubs, "key"))
-        links.verify(members.where("component <> hub_component").select(*_ordered("hub", "node")).distinct())
-    members = written(links.classes(members.select("key", "node")))
-    still = members.groupBy("key").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("key")
-    members = written(members.join(still, "key"))
-    other = members.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
-    across = members.join(other, "key").where("node < other and component <> other_component")
-    links.verify(across.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct())
-
-    parts = connected_components(links.links)
-    named = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = written(named.select("set_a", "set_b", "component", "least_doc"))
+    shared = written(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = written(exploded.join(shared, "key"))
+    popular = written(members.groupBy("node").agg(F.sum("n").alias("popularity")))
+    members = written(members.drop("n").join(popular, "node"))
+    sets = _sets_of(docs, written(popular.select("node").join(nodes.select("node", "least_doc", "set_a", "set_b"), "node")))
+    links = _Links(nodes, sets)
+
+    rank = F.struct("popularity", (-F.col("node")).alias("_least"))
+    hubs = written(members.groupBy("key").agg(F.max_by("node", rank).alias("hub")))
+    links.verify(members.join(hubs, "key").where("node <> hub").select(*_ordered("hub", "node")).distinct())
+
+    members = links.open_members(members)
+    first = F.max_by("component", rank).alias("first")
+    outside = members.join(written(members.groupBy("key").agg(first)), "key").where("component <> first").drop("first")
+    outside = written(outside)
+    hubs = outside.groupBy("key").agg(F.max_by(F.struct("node", "component"), rank).alias("hub"))
+    hubs = written(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")))
+    others = members.join(hubs, "key").where("component <> hub_component")
+    links.verify(others.select(*_ordered("hub", "node")).distinct())
+
+    members = links.open_members(members)
+    links.verify(links.pairs_across(members))
+
+    named = nodes.select("node", "set_a", "set_b", "least_doc").join(links.components(), "node", "left")
+    named = written(named.withColumn("component", F.coalesce("component", "node")).drop("node"))
     least = written(named.groupBy("component").agg(F.min("least_doc").alias("component_id")))
-    named = named.join(least, "component").select("set_a", "set_b", "component_id")
-    grouped = sketch.select("doc_id", "n_shingles", "set_a", "set_b").where("n_shingles > 0").join(written(named), ["set_a", "set_b"])
+    named = written(named.join(least, "component").select("set_a", "set_b", "component_id"))
+    grouped = filled.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"])
     alone = sketch.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
     return (
@@ -281,15 +355,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the near copies: of every group the row with the least doc_id stays.
 
-    Repeated rows of one doc_id count as copies of each other: one stays.
+    Of rows that share a doc_id one stays; rows of groups without any doc_id all do.
     """
-    verdicts = written(near_duplicates(docs).where("kept").select("doc_id").distinct())
-    first = docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["doc_id"]), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id")
-    repeated = written(repeated)
-    if repeated.isEmpty():
-        return first
-    among = first.join(repeated, first["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
-    apart = first.join(repeated, first["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
-    ranked = among.withColumn("_rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())))
-    return apart.unionByName(ranked.where("_rank = 1").drop("_rank"))
+    kept = written(near_duplicates(docs).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
+    verdicts = kept.select(F.col("doc_id").alias("_kept_id"), "n")
+    rows = rows.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
+    once = rows.where("n = 1 and doc_id is not null").select("_row.*")
+    # A doc_id that is kept more than once belongs to repeated rows; the window cuts each group map-side.
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    again = rows.where("n > 1 and doc_id is not null").withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+    return once.unionByName(again.select("_row.*")).unionByName(rows.where("doc_id is null").select("_row.*"))

@@ -77,3 +77,20 @@ def test_awkward_rows(awkward):
 def test_no_rows(no_docs):
     assert answers(no_docs) == []
     assert minhash.keep_one_of_each(no_docs).count() == 0
+
+
+def test_large_buckets_against_all_pairs(docs_of, monkeypatch):
+    """Many copies of a text that is not there, most pairs just below the threshold, some above."""
+    monkeypatch.setattr(minhash, "SMALL", 3)
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        own = list(base)
+        for _ in range(5):
+            own[rng.randrange(150)] = f"x{i}_{rng.random()}"
+        rows.append((i, " ".join(own)))
+        if i % 9 == 0:
+            rows.append((500 + i, " ".join([*own[:149], "end"])))
+    assert answers(docs_of(rows)) == brute(rows)
