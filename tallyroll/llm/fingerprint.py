@@ -78,10 +78,10 @@ def features(joined: np.ndarray, lengths: np.ndarray, rarity: np.ndarray) -> tup
     whole = _inside(lengths, WINDOW + NEIGHBOURS - 1)
     chosen = least[: len(whole)][whole[: len(least)]] & 0xFFFFFFFF
     picked = np.flatnonzero(np.bincount(chosen, minlength=1) >= LEAST_TIMES)
-    # Texts too short for a neighbourhood have all their windows.
+    # Texts without such a window, as are all that are too short for a neighbourhood, have all their windows.
     owner = np.repeat(np.arange(len(lengths)), lengths)
-    short = np.flatnonzero(valid & (lengths[owner[: len(valid)]] < WINDOW + NEIGHBOURS - 1))
-    places = np.union1d(picked, short)
+    bare = np.bincount(owner[picked], minlength=len(lengths)) == 0
+    places = np.union1d(picked, np.flatnonzero(valid & bare[owner[: len(valid)]]))
     if not len(places):
         return none
     powers = mix64(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
@@ -98,7 +98,7 @@ def features(joined: np.ndarray, lengths: np.ndarray, rarity: np.ndarray) -> tup
 
 
 def digests(texts: list[bytes], rarity: np.ndarray) -> list[np.ndarray]:
-    """The chain of Bloom filters of each text, one row of bytes per filter; no rows without features.
+    """The chain of Bloom filters of each text, one row of bytes per filter; no rows for an empty text.
 
     Texts shorter than a window are one feature, unless they are empty.
     """
@@ -129,7 +129,7 @@ def likeness(x: np.ndarray, y: np.ndarray) -> float:
 
     Every filter of the shorter chain is held against the most similar one of
     the longer chain; the mean is weighted by set bits. Two empty chains, of
-    texts without features, are alike.
+    empty texts, are alike.
     """
     if not len(x) or not len(y):
         return float(len(x) == len(y))
@@ -180,7 +180,7 @@ def corpus_rarity(docs: DataFrame) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, rarity: np.ndarray | None = None) -> DataFrame:
-    """(doc_id, fingerprint) of every row of ``docs``: its Bloom filters as lower-case hex, '' without features.
+    """(doc_id, fingerprint) of every row of ``docs``: its Bloom filters as lower-case hex, '' for an empty text.
 
     NULL counts as empty. Equal texts have equal fingerprints for one ``rarity``,
     which by default is taken from all of ``docs``.

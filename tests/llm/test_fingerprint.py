@@ -60,6 +60,21 @@ def test_likeness():
     assert fingerprint.likeness(a, c) == fingerprint.likeness(c, a)
 
 
+def test_only_empty_texts_have_no_features():
+    rng = np.random.default_rng(6)
+    rarity = rng.permutation(fingerprint.LEVELS)
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in range(1, 251)]
+    texts += [b"a" * 127, b"a" * 5000, bytes(range(97, 123)) * 40]  # all windows of one entropy
+    chains = fingerprint.digests(texts + [b""], rarity)
+    assert [i for i, c in enumerate(chains) if not len(c)] == [len(texts)]
+    for n in range(120, 250):
+        text, other = texts[n - 1], texts[n]
+        edited = fingerprint.digests([text[: n - 20] + other[:20]], rarity)[0]
+        assert fingerprint.likeness(chains[n - 1], chains[n]) < 0.2
+        if n < 142:  # all windows
+            assert fingerprint.likeness(chains[n - 1], edited) > 0.3
+
+
 def check(df, **options):
     rows = sorted(
         ((r["doc_id"] is None, -(r["doc_id"] or 0), r["text"] or "") for r in df.select("doc_id", "text").collect())
