@@ -16,7 +16,7 @@ MOST_REPEATED = 50  # percent of words in repeated 3-word windows
 SPREADS = {"word_length": 0.05, "symbols": 0.07, "lines": 0.2, "repeats": 0.2}
 DIMENSIONS = len(SPREADS)
 COVERED = 0.5  # share of rows whose covariance has the least determinant
-STEPS = 5
+STEPS = 100  # at most; they end when no group's determinant falls, usually after 5 to 20
 LEAST_ROWS = 50  # fewer rows than this are estimated together with others
 # Chi-square with four degrees of freedom: its 0.999 quantile and its median.
 CUTOFF, MEDIAN = 18.467, 3.357
@@ -158,8 +158,9 @@ def _estimates(moments: DataFrame) -> DataFrame:
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             df = df.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
+    volume = sum((F.log(f"l{i}{i}") for i in _P), F.lit(0.0))
     means = [(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in _P]
-    return df.select("group", *means, *[f"l{i}{j}" for i in _P for j in range(i + 1)])
+    return df.select("group", *means, *[f"l{i}{j}" for i in _P for j in range(i + 1)], F.least(volume, "before").alias("volume"), (volume < F.col("before") - 1e-6).alias("fell"))
 
 
 def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -167,7 +168,7 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
 
     Starts at medians and quartile ranges. A step measures all rows, finds the
     distance that covers half of them, and estimates anew from the rows within;
-    this never raises the determinant. Quantiles come from mergeable sketches and
+    this never raises the determinant; it ends when none falls. Quantiles come from mergeable sketches and
     moments from partial sums, so a group of any size stays spread out. ``scale``
     makes the median distance that of a chi-square where it is larger.
     """
@@ -184,6 +185,7 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
             for i in _P
             for j in range(i + 1)
         ],
+        F.lit(float("inf")).alias("volume"),
     )
     now = written(now)
     for _ in range(steps):
@@ -196,7 +198,10 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         sums = [F.sum(off[i]).alias(f"s{i}") for i in _P]
         products = [F.sum(off[i] * off[j]).alias(f"s{i}{j}") for i in _P for j in range(i + 1)]
         centres = [F.any_value(f"m{i}").alias(f"m{i}") for i in _P]
+        centres.append(F.any_value("volume").alias("before"))
         now = written(_estimates(inside.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *sums, *products, *centres)))
+        if not now.where("fell").head(1):
+            break
     measured = vectors.join(now, "group").withColumn("_d", _distance(_X))
     median = F.percentile_approx("_d", F.lit(0.5), F.lit(10_000)) / MEDIAN
     scale = measured.groupBy("group").agg(F.greatest(F.lit(1.0), median).alias("scale"))
