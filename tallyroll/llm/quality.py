@@ -11,9 +11,10 @@ SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of words in repeated 3-word windows
 
-# Statistics as used by the outlier test, and the least spread that each is credited with:
-# log of the mean word length; arcsine roots of the shares of symbols, repeated lines and repeated words.
-SPREADS = {"word_length": 0.05, "symbols": 0.07, "lines": 0.2, "repeats": 0.2}
+# Statistics as used by the outlier test: log of the mean word length; arcsine roots of the shares of symbols,
+# repeated lines and repeated words. A quartile range below the spread given here is nil: the group's whole spread is
+# taken instead. The small one is added, so that there is always an inverse.
+SPREADS = {"word_length": 0.01, "symbols": 0.01, "lines": 0.01, "repeats": 0.01}
 DIMENSIONS = len(SPREADS)
 COVERED = 0.5  # share of rows whose covariance has the least determinant
 STEPS = 100  # at most; they end when no group's determinant falls, usually after 5 to 20
@@ -141,17 +142,18 @@ def _distance(x: list[str]) -> Column:
 def _estimates(moments: DataFrame) -> DataFrame:
     """Mean and Cholesky factor per group from counts, sums and products around a centre.
 
-    Every dimension is credited with its least spread, so that a covariance
-    without any spread (say, no symbols at all) still has an inverse.
+    A dimension without quartile range (say, most texts have no symbols) has at
+    least the variance of the whole group, ``v``. The least variance comes on top,
+    so that the covariance always has an inverse.
     """
     df = moments
+    least = [s**2 for s in SPREADS.values()]
     for i in _P:
         df = df.withColumn(f"d{i}", F.col(f"s{i}") / F.col("n"))
     for i in _P:
         for j in range(i + 1):
-            floor = list(SPREADS.values())[i] ** 2 if i == j else 0.0
             cov = F.col(f"s{i}{j}") / F.col("n") - F.col(f"d{i}") * F.col(f"d{j}")
-            df = df.withColumn(f"c{i}{j}", F.greatest(cov, F.lit(0.0)) + F.lit(floor) if i == j else cov)
+            df = df.withColumn(f"c{i}{j}", F.greatest(cov, f"v{i}") + least[i] if i == j else cov)
     for i in _P:
         for j in range(i + 1):
             rest = F.col(f"c{i}{j}")
@@ -160,7 +162,7 @@ def _estimates(moments: DataFrame) -> DataFrame:
             df = df.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
     volume = sum((F.log(f"l{i}{i}") for i in _P), F.lit(0.0))
     means = [(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in _P]
-    return df.select("group", *means, *[f"l{i}{j}" for i in _P for j in range(i + 1)], F.least(volume, "before").alias("volume"), (volume < F.col("before") - 1e-6).alias("fell"))
+    return df.select("group", *means, *[f"v{i}" for i in _P], *[f"l{i}{j}" for i in _P for j in range(i + 1)], F.least(volume, "before").alias("volume"), (volume < F.col("before") - 1e-6).alias("fell"))
 
 
 def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -173,15 +175,18 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     makes the median distance that of a chi-square where it is larger.
     """
     quartiles = [F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(f"q{i}") for i, x in enumerate(_X)]
-    start = vectors.groupBy("group").agg(*quartiles)
     spreads = list(SPREADS.values())
+    whole = [F.greatest(F.var_pop(x), F.lit(spreads[i] ** 2)).alias(f"v{i}") for i, x in enumerate(_X)]
+    start = vectors.groupBy("group").agg(*quartiles, *whole)
+    quartile_range = [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in _P]
     now = start.select(
         "group",
         *[F.col(f"q{i}")[1].alias(f"m{i}") for i in _P],
+        *[F.when(quartile_range[i] < spreads[i], F.col(f"v{i}")).otherwise(0.0).alias(f"v{i}") for i in _P],
         *[
-            (F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(spreads[i])) if i == j else F.lit(0.0)).alias(
-                f"l{i}{j}"
-            )
+            (
+                F.when(quartile_range[i] >= spreads[i], quartile_range[i]).otherwise(F.sqrt(f"v{i}")) if i == j else F.lit(0.0)
+            ).alias(f"l{i}{j}")
             for i in _P
             for j in range(i + 1)
         ],
@@ -197,7 +202,7 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         off = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(_X)]
         sums = [F.sum(off[i]).alias(f"s{i}") for i in _P]
         products = [F.sum(off[i] * off[j]).alias(f"s{i}{j}") for i in _P for j in range(i + 1)]
-        centres = [F.any_value(f"m{i}").alias(f"m{i}") for i in _P]
+        centres = [F.any_value(f"{c}{i}").alias(f"{c}{i}") for c in "mv" for i in _P]
         centres.append(F.any_value("volume").alias("before"))
         now = written(_estimates(inside.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *sums, *products, *centres)))
         if not now.where("fell").head(1):

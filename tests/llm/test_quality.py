@@ -73,3 +73,32 @@ def test_distances_against_numpy(spark):
     wanted = half_with_least_determinant(got[quality._X].to_numpy(), list(quality.SPREADS.values()))
     assert got["d"].to_numpy() == pytest.approx(wanted, rel=0.05)
     assert (got["d"] > quality.CUTOFF).sum() >= 60
+
+
+@pytest.mark.parametrize("odd", ["words", "symbols", "lines", "repeats"])
+def test_lone_outlier_in_one_statistic(docs_of, odd):
+    """One document among 80 like each other differs in one statistic alone, within the base rules."""
+    rng = np.random.default_rng(8)
+
+    def text(n, letters=6, symbols=0, lines=0, repeats=0):
+        words = ["".join(rng.choice(list("abcdefgh"), letters + rng.integers(-1, 2))) for _ in range(10 * n)]
+        rows = [words[i : i + 10] for i in range(0, len(words), 10)]
+        for i in range(symbols):
+            rows[i][0] += "#" * 6
+        if repeats:  # 3-word windows, in lines that differ otherwise
+            for i in range(repeats):
+                rows[i][2:8] = rows[0][2:8]
+        rows = [" ".join(r) for r in rows]
+        return "\n".join(rows + ["a b"] * lines)
+
+    usual = [(i, text(20 + i % 9)) for i in range(80)]
+    lone = {
+        "words": dict(letters=12),
+        "symbols": dict(symbols=18),
+        "lines": dict(lines=12),
+        "repeats": dict(repeats=14),
+    }[odd]
+    kept = {r["doc_id"]: r for r in quality.judge(docs_of([*usual, (99, text(20, **lone))])).collect()}
+    assert not kept[99]["base_failed"]
+    assert not kept[99]["kept"]
+    assert sum(r["kept"] for r in kept.values()) > 60
