@@ -12,8 +12,11 @@ from tallyroll.llm.components import connected_components
 
 LEAST_WORDS = 4  # shorter lines stay: they repeat by chance
 SIMILARITY = 85  # percent: 100 * (1 - edits / longer length)
+MOST_BITS = 20  # SimHashes of linked lines differ in no more of their 64 bits
 # SimHashes of at most 2 different bits agree in two of four 16-bit blocks, whichever two: six keys of 32 bits.
-BLOCKS, MOST_BITS = 4, 2
+BLOCKS, NEAR_BITS = 4, 2
+# Lines that differ in more bits meet in two of the MARKS least hashes of their word pairs, short ones in one.
+MARKS, FEW_WORDS, MANY_WORDS = 7, 9, 8
 PART = 127  # words whose bit counts fit the bytes of a signed long
 
 def normalised(line: Column) -> Column:
@@ -77,22 +80,30 @@ def _lines(docs: DataFrame) -> DataFrame:
         "place",
         F.xxhash64("norm").alias("class_a"),
         F.xxhash64(F.lit("other"), F.col("norm")).alias("class_b"),
+        F.size("words").alias("n_words"),
+        _marks().alias("marks"),
         "words",
     )
-    return simhashes(keyed, ["row", "doc_id", "text_hash", "place", "class_a", "class_b"]).drop("row")
+    return simhashes(keyed, ["row", "doc_id", "text_hash", "place", "class_a", "class_b", "n_words", "marks"]).drop("row")
+
+
+def _marks() -> Column:
+    """The least distinct hashes of pairs of neighbouring words, in order."""
+    pairs = F.expr("transform(sequence(0, greatest(size(words) - 2, 0)), i -> xxhash64(words[i], get(words, i + 1)))")
+    return F.slice(F.sort_array(F.array_distinct(pairs)), 1, MARKS)
 
 
 def _block_keys(sim: str) -> Column:
     """Every two blocks of a SimHash, packed into a long with the number of the choice."""
     block = [F.shiftrightunsigned(F.col(sim), 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(BLOCKS)]
     keys = [
-        F.lit(n << 32) + F.shiftleft(block[i], 16) + block[j] for n, (i, j) in enumerate(combinations(range(BLOCKS), BLOCKS - MOST_BITS))
+        F.lit(n << 32) + F.shiftleft(block[i], 16) + block[j] for n, (i, j) in enumerate(combinations(range(BLOCKS), BLOCKS - NEAR_BITS))
     ]
     return F.array(*keys)
 
 
 def _close_hashes(sims: DataFrame) -> DataFrame:
-    """Pairs (sim < other) of distinct SimHashes with at most MOST_BITS different bits.
+    """Pairs (sim < other) of distinct SimHashes with at most NEAR_BITS different bits.
 
     A key has 32 bits, so chance meetings stay few. Keys that only one SimHash
     has, which is nearly all of them, go before the join.
@@ -101,20 +112,58 @@ def _close_hashes(sims: DataFrame) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = written(keyed.join(shared, "key"))
     other = members.select("key", F.col("sim").alias("other"))
-    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("other"))) <= MOST_BITS
+    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("other"))) <= NEAR_BITS
     return members.join(other, "key").where((F.col("sim") < F.col("other")) & near).select("sim", "other").distinct()
 
 
+def _members(classes: DataFrame) -> DataFrame:
+    """(key, class, sim) for every key that several classes have: the SimHash, and marks by ones and twos."""
+    of_two = F.expr(
+        "flatten(transform(sequence(1, size(marks)), i -> "
+        "transform(slice(marks, i + 1, size(marks)), m -> xxhash64(2, marks[i - 1], m))))"
+    )
+    of_one = F.transform("marks", lambda m: F.xxhash64(F.lit(1), m))
+    none = F.expr("cast(array() as array<bigint>)")
+    by_ones = F.when(F.col("n_words").between(LEAST_WORDS, FEW_WORDS), of_one).otherwise(none)
+    by_twos = F.when(F.col("n_words") >= MANY_WORDS, of_two).otherwise(none)
+    same = F.when(F.col("n_words") >= LEAST_WORDS, F.array(F.xxhash64(F.lit(0), "sim"))).otherwise(none)
+    keyed = classes.select("class", "sim", F.explode(F.concat(same, by_ones, by_twos)).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return written(keyed.join(shared, "key"))
+
+
 def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Verified links (a, b) between classes of lines with close or equal SimHashes."""
-    repeated = classes.groupBy("sim").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("hub"))
-    close = written(_close_hashes(repeated.select("sim")))
+    """Verified links (a, b) between classes of lines that share a key or have close SimHashes.
+
+    The members of a key are compared with its least class first; then only those
+    that are still in different components are compared with each other.
+    """
+    long = classes.where(F.col("n_words") >= LEAST_WORDS)
+    close = written(_close_hashes(long.select("sim").distinct()))
     near = close.union(close.select(F.col("other").alias("sim"), F.col("sim").alias("other")))
-    by_sim = classes.select("sim", F.col("class").alias("a"))
-    same = by_sim.join(repeated.where("n > 1").select("sim", F.col("hub").alias("b")), "sim").where("a <> b").select("a", "b")
-    apart = by_sim.join(near, "sim").join(classes.select(F.col("sim").alias("other"), F.col("class").alias("b")), "other")
-    pairs = same.union(apart.where("a < b").select("a", "b")).distinct()
-    pairs = written(pairs)
+    by_sim = long.select("sim", F.col("class").alias("a"))
+    apart = by_sim.join(near, "sim").join(long.select(F.col("sim").alias("other"), F.col("class").alias("b")), "other")
+    members = _members(classes)
+    alike = F.bit_count(F.col("sim").bitwiseXOR(F.col("other"))) <= MOST_BITS
+    hubs = members.groupBy("key").agg(F.min(F.struct("class", "sim")).alias("hub"))
+    hubs = hubs.select("key", F.col("hub.class").alias("a"), F.col("hub.sim").alias("other"))
+    hub = members.join(hubs, "key").where(alike & (F.col("a") < F.col("class"))).select("a", F.col("class").alias("b"))
+    first = written(_verified(docs, classes, written(apart.where("a < b").select("a", "b").union(hub).distinct())))
+    parts = written(connected_components(first))
+    placed = members.join(parts, F.col("class") == F.col("node"), "left").select(
+        "key", "class", "sim", F.coalesce("component", "class").alias("part")
+    )
+    placed = written(placed)
+    split = placed.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("key")
+    left = written(placed.join(split, "key"))
+    right = left.select("key", F.col("class").alias("b"), F.col("sim").alias("other"), F.col("part").alias("other_part"))
+    rest = left.join(right, "key").where((F.col("class") < F.col("b")) & (F.col("part") != F.col("other_part")) & alike)
+    rest = written(rest.select(F.col("class").alias("a"), "b").distinct())
+    return first.union(_verified(docs, classes, rest))
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose texts are similar enough."""
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     firsts = written(classes.join(wanted, "class").select("class", "first.*"))
     # Only the documents that hold a line in question are read again, for its text.
@@ -161,7 +210,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, places): the lines of a document that an earlier line of the corpus stands for."""
     lines = written(_lines(docs))
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
-    classes = lines.groupBy("class_a", "class_b").agg(first, F.count(F.lit(1)).alias("n"), F.min("sim").alias("sim"))
+    same = [F.any_value(c).alias(c) for c in ("sim", "n_words", "marks")]
+    classes = lines.groupBy("class_a", "class_b").agg(first, F.count(F.lit(1)).alias("n"), *same)
     classes = written(classes.withColumn("class", F.monotonically_increasing_id()))
     parts = written(connected_components(_links(docs, classes)))
     grouped = classes.join(parts, F.col("class") == F.col("node"))
@@ -203,9 +253,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines taken out of ``text`` that an earlier line already says.
 
     Lines are compared in normal form. Equal ones are one class. A class is
-    linked with the least class of its own SimHash, and with all classes whose
-    SimHash differs in one or two bits, where the edit similarity is 0.85 or
-    more. Of every connected group the first line (by doc_id, then text hash and
+    linked with classes of its own SimHash, with those whose SimHash differs in one
+    or two bits, and with those of at most MOST_BITS bits that share two of its
+    marks (one in short lines), where the edit similarity is 0.85 or more. Of every connected group the first line (by doc_id, then text hash and
     place) stays. Lines of fewer than four words always stay.
 
     NULL texts stay NULL and have no line. Rows equal in doc_id and text are one

@@ -97,6 +97,36 @@ def test_near_lines_against_all_pairs(docs_of):
     assert sum(r[3] for r in got) > 40
 
 
+def test_replaced_words_are_found(docs_of):
+    """At 0.85 or more without any gate: one word of 8 to 20 replaced, three of 40, ten of 120."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    rows = []
+    for n, changes in [(8, 1), (12, 1), (20, 1), (40, 3), (80, 6), (120, 10)] * 20:
+        words = [word(rng.randint(4, 7)) for _ in range(n)]
+        changed = list(words)
+        for at in rng.sample(range(n), changes):
+            changed[at] = word(len(words[at]))
+        a, b = " ".join(words), " ".join(changed)
+        assert 100 * edits(a, b) <= 15 * max(len(a), len(b))
+        rows += [(len(rows), a), (len(rows) + 1, b)]
+    dropped = {r[0] for r in answers(docs_of(rows)) if r[3]}
+    assert dropped <= {i for i, _ in rows if i % 2}
+    found = {n: sum(i in dropped for i in range(1, 240, 2) if len(rows[i][1].split()) == n) for n in (8, 12, 20, 40, 80, 120)}
+    print("found of 20 by words", found)
+    assert all(n >= 18 for n in found.values()), found
+
+
+def test_lines_of_one_simhash_that_differ_from_the_first(docs_of):
+    """One word makes up most of each line, so all have its SimHash; only the longer two are alike."""
+    a, b = "buy " * 30 + "tonight only", "buy " * 30 + "tonight okay"
+    for first in ("buy buy buy now", "buy buy buy here please"):
+        got = answers(docs_of([(1, first), (2, a), (3, b), (4, "buy " * 9 + "zz yy")]).coalesce(1))
+        assert [r[3] for r in got] == [0, 0, 1, 0]
+
+
 def test_awkward_rows(docs_of, no_docs):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d e\na b c d e\na b c d e"), (5, "a b c d e"), (7, "x " * 5000 + "y")]
     assert answers(docs_of(rows)) == brute(rows)
