@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tallyroll.llm.common import maybe_among, packed, text_or_empty, written
 from tallyroll.llm.components import connected_components
 
-LEAST_WORDS = 4  # shorter lines stay: they repeat by chance
+LEAST_WORDS = 1  # of a line that takes part; blank lines stay
+LINK_WORDS = 4  # shorter lines are only compared for equal normal forms
 SIMILARITY = 85  # percent: 100 * (1 - edits / longer length)
 MOST_BITS = 20  # SimHashes of linked lines differ in no more of their 64 bits
 # SimHashes of at most 2 different bits agree in two of four 16-bit blocks, whichever two: six keys of 32 bits.
@@ -60,7 +61,7 @@ def simhashes(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line that is long enough to judge: its document, place, class and SimHash.
+    """One row per line that is not blank: its document, place, class and SimHash.
 
     Equal normalised lines are one class, named by 128 bits of hashes.
     """
@@ -71,7 +72,7 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.posexplode(F.split(text, "\n")).alias("place", "line"),
     )
     lines = lines.select("doc_id", "text_hash", "place", normalised(F.col("line")).alias("norm"))
-    lines = lines.withColumn("words", F.split("norm", " ")).where(F.size("words") >= LEAST_WORDS)
+    lines = lines.withColumn("words", F.split("norm", " ")).where((F.size("words") >= LEAST_WORDS) & (F.col("norm") != ""))
     keyed = lines.select(
         # Repeated rows have equal lines in equal places.
         F.monotonically_increasing_id().alias("row"),
@@ -124,9 +125,9 @@ def _members(classes: DataFrame) -> DataFrame:
     )
     of_one = F.transform("marks", lambda m: F.xxhash64(F.lit(1), m))
     none = F.expr("cast(array() as array<bigint>)")
-    by_ones = F.when(F.col("n_words").between(LEAST_WORDS, FEW_WORDS), of_one).otherwise(none)
+    by_ones = F.when(F.col("n_words").between(LINK_WORDS, FEW_WORDS), of_one).otherwise(none)
     by_twos = F.when(F.col("n_words") >= MANY_WORDS, of_two).otherwise(none)
-    same = F.when(F.col("n_words") >= LEAST_WORDS, F.array(F.xxhash64(F.lit(0), "sim"))).otherwise(none)
+    same = F.when(F.col("n_words") >= LINK_WORDS, F.array(F.xxhash64(F.lit(0), "sim"))).otherwise(none)
     keyed = classes.select("class", "sim", F.explode(F.concat(same, by_ones, by_twos)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     return written(keyed.join(shared, "key"))
@@ -138,7 +139,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     The members of a key are compared with its least class first; then only those
     that are still in different components are compared with each other.
     """
-    long = classes.where(F.col("n_words") >= LEAST_WORDS)
+    long = classes.where(F.col("n_words") >= LINK_WORDS)
     close = written(_close_hashes(long.select("sim").distinct()))
     near = close.union(close.select(F.col("other").alias("sim"), F.col("sim").alias("other")))
     by_sim = long.select("sim", F.col("class").alias("a"))
@@ -256,7 +257,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     linked with classes of its own SimHash, with those whose SimHash differs in one
     or two bits, and with those of at most MOST_BITS bits that share two of its
     marks (one in short lines), where the edit similarity is 0.85 or more. Of every connected group the first line (by doc_id, then text hash and
-    place) stays. Lines of fewer than four words always stay.
+    place) stays. Lines of fewer
+    than LINK_WORDS words are only compared for equal normal forms; blank ones stay.
 
     NULL texts stay NULL and have no line. Rows equal in doc_id and text are one
     document listed more than once: they keep the same lines. A document that

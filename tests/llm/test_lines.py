@@ -127,6 +127,13 @@ def test_lines_of_one_simhash_that_differ_from_the_first(docs_of):
         assert [r[3] for r in got] == [0, 0, 1, 0]
 
 
+def test_short_lines_repeat_too(docs_of):
+    long = "全ての権利は留保されています" * 5
+    rows = [(1, f"All rights reserved\n\n{long}"), (2, f"own\nall rights reserved.\n\n{long}\n---"), (3, "Own!\n\n---")]
+    got = {r[0]: r[1] for r in answers(docs_of(rows))}
+    assert got == {1: rows[0][1], 2: "own\n\n---", 3: "\n---"}
+
+
 def test_awkward_rows(docs_of, no_docs):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d e\na b c d e\na b c d e"), (5, "a b c d e"), (7, "x " * 5000 + "y")]
     assert answers(docs_of(rows)) == brute(rows)
