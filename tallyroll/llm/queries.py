@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm import chat, fingerprint, lines, minhash, mixing, packing, quality, sharding, tokens, toxicity
+from tallyroll.llm import chat, fingerprint, idfiles, lines, minhash, mixing, packing, quality, sharding, tokens, toxicity
 from tallyroll.llm.oracle import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,8 @@ def op10_quality_rules(spark, sf_dir):
     judged = quality.judge(documents(spark, sf_dir))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *base, "base_failed", "kept", "distance")
+
+
+@query
+def op12_token_id_files(spark, sf_dir):
+    return idfiles.read_ids(idfiles.write_ids(documents(spark, sf_dir)))
