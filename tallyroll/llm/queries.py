@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm import chat, fingerprint, idfiles, lines, minhash, mixing, packing, quality, sharding, tokens, toxicity
+from tallyroll.llm import chat, fingerprint, idfiles, lines, minhash, mixing, packing, quality, runs, sharding, tokens, toxicity
 from tallyroll.llm.oracle import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,15 @@ def op10_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *base, "base_failed", "kept", "distance")
 
 
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Every tenth text is made to go on periodically first, as the contract has it."""
+    found = runs.find_runs(runs.with_planted_runs(documents(spark, sf_dir)), keep_text=False)
+    best = [F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")]
+    exponent = F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli")
+    return found.select("doc_id", "n_runs", *best, exponent, "runs_sha256", "collapsed_sha256", "n_words")
+
+
 @query
 def op12_token_id_files(spark, sf_dir):
     return idfiles.read_ids(idfiles.write_ids(documents(spark, sf_dir)))
