@@ -81,22 +81,26 @@ def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -
     )
 
 
-def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Sum of ``value`` up to and including each row, within ``by`` (never NULL), in ``order``.
+def running_totals(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], value: str | Sequence[str], name: str | Sequence[str]
+) -> DataFrame:
+    """Sum of ``value`` up to and including each row, within ``by`` (never NULL), in ``order``; of several values at once.
 
     Rows are range-partitioned, so a group of any size is spread over partitions;
     a partition needs only the sums of the partitions before it.
     """
+    values, names = ([value], [name]) if isinstance(value, str) else (value, name)
     placed = written(df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
-    sums = placed.groupBy(*by, "_part").agg(F.sum(value).alias("_sum"))
+    sums = placed.groupBy(*by, "_part").agg(*[F.sum(v).alias(f"_sum{k}") for k, v in enumerate(values)])
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(*by, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    totals = [F.coalesce(F.sum(f"_sum{k}").over(earlier), F.lit(0)).alias(f"_before{k}") for k in range(len(values))]
+    before = sums.select(*by, "_part", *totals)
     inside = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    within = placed.withColumn("_within", F.sum(value).over(inside))
+    within = placed.withColumns({f"_within{k}": F.sum(v).over(inside) for k, v in enumerate(values)})
     return (
         within.join(before, [*by, "_part"])
-        .withColumn(name, F.col("_before") + F.col("_within"))
-        .drop("_part", "_before", "_within")
+        .withColumns({n: F.col(f"_before{k}") + F.col(f"_within{k}") for k, n in enumerate(names)})
+        .drop("_part", *[f"{c}{k}" for c in ("_before", "_within") for k in range(len(values))])
     )
 
 

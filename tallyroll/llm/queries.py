@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm import chat, fingerprint, idfiles, lines, minhash, mixing, packing, quality, runs, sharding, tokens, toxicity
+from tallyroll.llm import chat, fingerprint, idfiles, lines, minhash, mixing, packing, quality, runs, sharding, tokens, toxicity, trie
 from tallyroll.llm.oracle import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,13 @@ def op11_periodic_runs(spark, sf_dir):
 @query
 def op12_token_id_files(spark, sf_dir):
     return idfiles.read_ids(idfiles.write_ids(documents(spark, sf_dir)))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """Each conversation begins with up to five turns of the first one of its hundred."""
+    talk = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    conv = F.col("conv_id")
+    edits = talk.select(F.col("conv_id").cast("long").alias("conv_id")).where("conv_id is not null").distinct()
+    keep = F.crc32(conv.cast("string").cast("binary")) % 6
+    return trie.prefix_trie(talk, edits.select(conv, (conv - conv % 100).alias("base_id"), keep.alias("keep")))
