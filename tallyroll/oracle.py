@@ -7,6 +7,7 @@ are rounded in whole numbers: ``(2*s + n) // (2*n)`` is ``s / n`` rounded half u
 from __future__ import annotations
 
 from tallyroll import fixtures
+from tallyroll.schemas import SOURCE_COLUMNS
 
 DAY = "2024-01-10"
 
@@ -197,6 +198,21 @@ def _union(parts) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _kind(column: str) -> str:
+    """The narrowest kind of type that all texts of a column have."""
+    return f"""CASE COUNT({column}) WHEN COUNT(TRY_CAST({column} AS BIGINT)) THEN 'integer'
+                    WHEN COUNT(TRY_CAST({column} AS DOUBLE)) THEN 'double'
+                    WHEN COUNT(TRY_CAST({column} AS DATE)) FILTER (LENGTH({column}) = 10) THEN 'date'
+                    WHEN COUNT(TRY_CAST({column} AS TIMESTAMP)) THEN 'timestamp' ELSE 'string' END"""
+
+
+def _typed_columns():
+    """(table, column, kind in JSON): there numbers are numbers and all else is text."""
+    for table, columns in SOURCE_COLUMNS.items():
+        for c in columns:
+            yield table, c, "'double'" if c in ("score", "max_score") else "'string'"
+
+
 def _contract(table: str, source: str, columns: str, rules: list[tuple[str, str, str | None]]) -> str:
     rows = [(name, "", column, broken) for name, column, broken in rules]
     return (
@@ -367,6 +383,11 @@ def _build() -> dict[str, str]:
     for e in _ENTITIES:
         q[f"silver_{e}"] = f"SELECT {stamped[e]}, {_verdict(e)} AS _ge_passed FROM silver_{e}"
 
+    q["validate_isolated"] = f"""
+        SELECT seq, rule, expectation, column_name, IF(seq = 5, NULL, checked_rows) AS checked_rows,
+               IF(seq = 5, NULL, failed_rows) AS failed_rows, seq = 5 OR success AS success,
+               IF(seq = 5, 'error', 'primary') AS engine
+        FROM ({_rule_rows("raw_students", _PRIMARY["students"])})"""
     q["validate_fallback"] = _union(
         f"SELECT '{e}' AS entity, * FROM ({_rule_rows('raw_' + e, _FALLBACK[e])})" for e in _ENTITIES
     )
@@ -401,12 +422,32 @@ def _build() -> dict[str, str]:
     )
     for e in _ENTITIES:
         file = "assessments.json" if e == "assessments" else f"{e}.csv"
-        q[f"landed_{e}"] = f"SELECT *, '{file}' AS _source_file FROM raw_{e}"
+        q[f"landed_{e}"] = q[f"bronze_{e}"]
     q["typed_sources"] = _union(
         f"SELECT '{t}' AS table_name, COUNT({c}) AS filled, MIN({c}) AS least, MAX({c}) AS most FROM raw_{t}"
         for t, c in (("students", "grade_level"), ("assessments", "assessment_id"))
     )
 
+    q["typed_schemas"] = _union(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, '{c}' AS column_name, {_kind(c) if t != 'assessments' else kind} AS kind, "
+        f"COUNT(*) - COUNT({c}) AS null_count FROM raw_{t}"
+        for t, c, kind in _typed_columns()
+    )
+    previews = (("students", "student_id", "class_id"), ("attendance", "attendance_id", "status"), ("assessments", "assessment_id", "subject"))
+    stamps = (("students", "updated_at"), ("attendance", "created_at"))
+    q["profile_previews"] = _union(
+        [
+            *(
+                f"SELECT '{t}' AS table_name, {i} AS record_id, {d} AS detail FROM (SELECT * FROM raw_{t} ORDER BY {i} LIMIT 5)"
+                for t, i, d in previews
+            ),
+            *(
+                f"SELECT '{t}', '{c}', v FROM (SELECT DISTINCT {c} AS v FROM raw_{t} ORDER BY v LIMIT 3)"
+                for t, c in stamps
+            ),
+        ]
+    )
+
     q["gold_dim_students"] = f"SELECT {_DIM_TEXT}, {_text('updated_at')} FROM silver_students"
     q["gold_fact_attendance"] = (
         f"SELECT attendance_id, student_id, class_id, status, {_text('attendance_date', 'created_at')} "
@@ -448,6 +489,29 @@ def _build() -> dict[str, str]:
         UNION ALL
         SELECT class_id, date::VARCHAR, total_students, {seen}, attendance_rate, 0, 0, 0.0
         FROM rated WHERE date < DATE '{DAY}' AND students_with_attendance > 0"""
+    q["stored_mart_upsert"] = f"SELECT *, IF(date >= '{DAY}', 2, 1) AS loaded_by FROM ({q['mart_upsert']})"
+    q["stored_mart_defaults"] = f"""
+        SELECT {_MART_COLUMNS.replace('students_with_assessment, assessment_count, avg_score', '')}
+               IF(date < DATE '{DAY}', 0, students_with_assessment) AS students_with_assessment,
+               IF(date < DATE '{DAY}', 0, assessment_count) AS assessment_count,
+               IF(date < DATE '{DAY}', 0.0, avg_score) AS avg_score
+        FROM rated"""
+    q["stored_mart_head"] = f"SELECT {_MART_COLUMNS} FROM (SELECT * FROM rated ORDER BY date, class_id LIMIT 20)"
+    q["gold_load_order"] = _union(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, 0 AS inversions, 0 AS overlaps, "
+        f"MIN({key}) AS first_key, MAX({key}) AS last_key FROM {table}"
+        for name, table, key in (
+            ("dim_students", "silver_students", "student_id"),
+            ("fact_attendance", "fact_attendance", "attendance_date::VARCHAR || '|' || student_id"),
+            ("fact_assessments", "fact_assessments", "assessment_date::VARCHAR || '|' || student_id"),
+        )
+    )
+    limits = {"default": "LIMIT 25", "named": "LIMIT 40", "all": ""}
+    q["report_request_limits"] = _union(
+        f"SELECT '{name}' AS request, class_id, date::VARCHAR AS date, present_count "
+        f"FROM (SELECT * FROM rated ORDER BY class_id, date {limit})"
+        for name, limit in limits.items()
+    )
     q["stored_fact_attendance"], q["stored_fact_assessments"] = q["gold_fact_attendance"], q["gold_fact_assessments"]
     q["stored_mart"] = f"SELECT {_MART_COLUMNS}, '2025-01-01 00:00:00' AS _computed_at FROM rated"
     q["mart_ordered_head"] = f"SELECT {_MART_COLUMNS} FROM (SELECT * FROM rated ORDER BY class_id, date LIMIT 20)"

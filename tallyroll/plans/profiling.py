@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroll.functions.numbers import number_or_null, round_half_even, round_mean, text_mean
@@ -36,12 +36,71 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
+    """The first rows: in ``order_by`` (each task keeps its own first rows), else any, from as few files as will do."""
+    return (df.orderBy(*order_by) if order_by else df).limit(rows)
 
 
 def distinct_preview(df: DataFrame, column: str, rows: int = 3) -> DataFrame:
-    return df.select(column).distinct().limit(rows)
+    """The least distinct values."""
+    return df.select(column).distinct().orderBy(column).limit(rows)
+
+
+# --- files ------------------------------------------------------------------
+def file_order(stored: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One row per file of a table: its rows, first and last key in ``order``, and rows that come before a smaller key.
+
+    Places are those that Spark's file metadata gives. ``overlaps`` tells whether another file that begins earlier in ``order``
+    ends later than this one begins. No window holds more than one file, or one row per file.
+    """
+    key = F.struct(*order)
+    rows = stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"), key.alias("key"))
+    inside = Window.partitionBy("file").orderBy("place")
+    rows = rows.withColumn("inverted", F.coalesce(F.col("key") < F.lag("key").over(inside), F.lit(False)))
+    files = rows.groupBy("file").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if("inverted").alias("inversions"),
+        F.min_by("key", "place").alias("first_key"),
+        F.max_by("key", "place").alias("last_key"),
+        F.min("key").alias("least"),
+        F.max("key").alias("most"),
+    )
+    earlier = Window.orderBy("least", "most", "file").rowsBetween(Window.unboundedPreceding, -1)
+    overlaps = F.coalesce(F.max("most").over(earlier) > F.col("least"), F.lit(False)).alias("overlaps")
+    return files.select("file", "row_count", "inversions", "first_key", "last_key", overlaps)
+
+
+def load_order(stored: DataFrame, table: str, order: Sequence[str]) -> DataFrame:
+    """One row on how a table lies on storage: rows, inversions inside files, files that overlap, first and last key."""
+    def shown(key: str) -> Column:
+        return F.concat_ws("|", *[F.col(f"{key}.{c}").cast("string") for c in order])
+
+    files = file_order(stored, order)
+    total = files.agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("inversions").alias("inversions"),
+        F.count_if("overlaps").alias("overlaps"),
+        F.min("first_key").alias("first"),
+        F.max("last_key").alias("last"),
+    )
+    return total.select(
+        F.lit(table).alias("table_name"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("row_count", "inversions", "overlaps")],
+        shown("first").alias("first_key"),
+        shown("last").alias("last_key"),
+    )
+
+
+def inferred_schema(df: DataFrame, table: str) -> DataFrame:
+    """One row per column of a typed read: the kind of type that was found, and how many cells are NULL."""
+    # Names of kinds for Spark's own type names.
+    kinds = {"int": "integer", "bigint": "integer", "double": "double", "date": "date", "string": "string"}
+    found = [(c, kinds.get(t, "timestamp" if t.startswith("timestamp") else t)) for c, t in df.dtypes]
+    counted = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, (c, _) in enumerate(found)])
+    stacked = ", ".join(f"'{c}', '{kind}', nulls_{i}" for i, (c, kind) in enumerate(found))
+    return counted.selectExpr(
+        f"'{table}' as table_name", "row_count", f"stack({len(found)}, {stacked}) as (column_name, kind, null_count)"
+    )
 
 
 # --- shape and values -------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -76,6 +76,40 @@ def report(
     return ordered if row_limit is None else ordered.limit(row_limit)
 
 
+@dataclass(frozen=True)
+class Request:
+    """What a client asks of a table; see ``report``. ``row_limit`` is None where the client names none."""
+
+    metrics: Sequence[Metric] = ()
+    groupby: Sequence[str] = ()
+    time_column: str | None = None
+    grain: str | None = None
+    columns: Sequence[str] = ()
+    order_by: Sequence[str] = ()
+    row_limit: int | None = None
+
+
+@dataclass(frozen=True)
+class RequestSettings:
+    """What a server does for requests that leave it open. Without a ``default_limit`` they get all rows."""
+
+    default_limit: int | None = None
+
+    def __post_init__(self):
+        if self.default_limit is not None and self.default_limit < 1:
+            raise ValueError("a default limit is at least one row")
+
+    def limit_of(self, request: Request) -> int | None:
+        """A limit that the client names is the client's, larger or smaller than the default."""
+        return request.row_limit if request.row_limit is not None else self.default_limit
+
+
+def answer(df: DataFrame, request: Request, settings: RequestSettings = RequestSettings()) -> DataFrame:
+    """The report that ``request`` asks for, under the server's ``settings``."""
+    asked = {f.name: getattr(request, f.name) for f in fields(request) if f.name != "row_limit"}
+    return report(df, **asked, row_limit=settings.limit_of(request))
+
+
 # --- dashboard --------------------------------------------------------------
 def attendance_rate_trend(mart: DataFrame) -> DataFrame:
     return report(

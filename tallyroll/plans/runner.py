@@ -31,7 +31,7 @@ class Pipeline:
     """The stages over one source folder and one lake folder.
 
     ``patterns`` are the id patterns of the quality rules; ``engine`` picks the
-    rule set. Gold tables keep ``keep_versions`` versions, so a reader of the one
+    rule set; ``isolate_rules`` judges a suite without the rules that raise. Gold tables keep ``keep_versions`` versions, so a reader of the one
     before last is safe. Each stage reads what the one before wrote, so nothing upstream is
     computed twice.
     """
@@ -47,6 +47,7 @@ class Pipeline:
         json_lines: bool = False,
         multiline_csv: bool = False,
         keep_versions: int = 2,
+        isolate_rules: bool = False,
     ):
         check_settings(spark)
         self.spark = spark
@@ -57,6 +58,7 @@ class Pipeline:
         self.json_lines = json_lines
         self.multiline_csv = multiline_csv
         self.keep_versions = keep_versions
+        self.isolate_rules = isolate_rules
 
     # --- files to Bronze ----------------------------------------------------
     def read_source(self, entity: str) -> DataFrame:
@@ -66,9 +68,9 @@ class Pipeline:
             return read_json_text(self.spark, path, columns, json_lines=self.json_lines)
         return read_csv_text(self.spark, path, columns, multiline=self.multiline_csv)
 
-    def ingest(self, entity: str, run_date: str) -> str:
+    def ingest(self, entity: str, run_date: str, ingested_at: datetime | None = None) -> str:
         """Land one source; duplicates stay. Returns the batch folder."""
-        landed = with_audit(self.read_source(entity), SOURCE_FILES[entity])
+        landed = with_audit(self.read_source(entity), SOURCE_FILES[entity], ingested_at)
         accept = partial(self._refuse_absent_keys, entity) if SOURCE_FILES[entity].endswith(".json") else None
         self.lake.write_batch(landed, "bronze", entity, run_date, accept)
         return self.lake.batch_path("bronze", entity, run_date)
@@ -95,7 +97,7 @@ class Pipeline:
     def transform(self, entity: str, run_date: str) -> dict:
         """Validate, quarantine a failed batch as it is, and write Silver either way."""
         raw = self.lake.read_batch("bronze", entity, run_date)
-        validation = quality.run_suite(raw, entity, self.engine, **self._patterns_for(entity))
+        validation = quality.run_suite(raw, entity, self.engine, self.isolate_rules, **self._patterns_for(entity))
         if not validation["success"]:
             logger.warning("%s failed validation: %s", entity, validation["failed_expectations"])
             self.lake.write_batch(raw, "rejected", entity, run_date)

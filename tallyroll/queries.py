@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime
 from functools import cached_property, reduce, wraps
 
@@ -22,10 +23,13 @@ from tallyroll.schemas import (
     ENTITIES,
     FACT_ASSESSMENTS,
     FACT_ATTENDANCE,
+    MART,
     SOURCE_FILES,
+    Contract,
 )
 from tallyroll.session import new_folder
 from tallyroll.sources.files import read_csv_typed, read_json_typed, with_audit
+from tallyroll.sources.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,8 +223,8 @@ def _stored(spark: SparkSession, sf_dir: str) -> Pipeline:
 def _landed(entity: str) -> Query:
     def run(spark, sf_dir):
         pipeline = _stored(spark, sf_dir)
-        pipeline.ingest(entity, RUN_DATE)
-        return pipeline.lake.read_batch("bronze", entity, RUN_DATE).drop("_raw_ingested_at")
+        pipeline.ingest(entity, RUN_DATE, LANDED_AT)
+        return pipeline.lake.read_batch("bronze", entity, RUN_DATE)
 
     run.__name__ = f"landed_{entity}"
     return run
@@ -252,25 +256,30 @@ def rejected_rows(spark, sf_dir):
     return _union(parts)
 
 
-def _loaded(spark: SparkSession, sf_dir: str) -> Pipeline:
+def _loaded(spark: SparkSession, sf_dir: str, entities: Sequence[str] = ENTITIES) -> Pipeline:
+    """Gold tables of ``entities``; facts need the students too."""
     pipeline = _stored(spark, sf_dir)
-    for entity in ENTITIES:
+    for entity in entities:
         pipeline.ingest(entity, RUN_DATE)
         pipeline.transform(entity, RUN_DATE)
-    pipeline.load_dim_students(RUN_DATE)
-    pipeline.load_fact_attendance(RUN_DATE)
-    pipeline.load_fact_assessments(RUN_DATE)
+    loads = {
+        "students": pipeline.load_dim_students,
+        "attendance": pipeline.load_fact_attendance,
+        "assessments": pipeline.load_fact_assessments,
+    }
+    for entity in entities:
+        loads[entity](RUN_DATE)
     return pipeline
 
 
 @query
 def stored_fact_attendance(spark, sf_dir):
-    return _loaded(spark, sf_dir).lake.read_table(FACT_ATTENDANCE.table).drop("_ingested_at")
+    return _loaded(spark, sf_dir, ("students", "attendance")).lake.read_table(FACT_ATTENDANCE.table).drop("_ingested_at")
 
 
 @query
 def stored_fact_assessments(spark, sf_dir):
-    return _loaded(spark, sf_dir).lake.read_table(FACT_ASSESSMENTS.table).drop("_ingested_at")
+    return _loaded(spark, sf_dir, ("students", "assessments")).lake.read_table(FACT_ASSESSMENTS.table).drop("_ingested_at")
 
 
 @query
@@ -297,6 +306,93 @@ def typed_sources(spark, sf_dir):
     return _union(parts)
 
 
+@query
+def typed_schemas(spark, sf_dir):
+    """The kinds of types that typed reads of the files infer, and their NULL cells."""
+    folder = _stored(spark, sf_dir).source_dir
+    numbers = {c: F.col(c).cast("double") for c in ("score", "max_score")}
+    fixtures.raw(spark, sf_dir, "assessments").withColumns(numbers).write.json(f"{folder}/numbers.json")
+    frames = {
+        "students": read_csv_typed(spark, f"{folder}/students.csv"),
+        "attendance": read_csv_typed(spark, f"{folder}/attendance.csv"),
+        "assessments": read_json_typed(spark, f"{folder}/numbers.json", json_lines=True),
+    }
+    return _union([profiling.inferred_schema(df, name) for name, df in frames.items()])
+
+
+@query
+def gold_load_order(spark, sf_dir):
+    """How the loaded tables lie on storage: rows out of order inside files, and files that overlap."""
+    lake = _loaded(spark, sf_dir).lake
+    tables = (DIM_STUDENTS, FACT_ATTENDANCE, FACT_ASSESSMENTS)
+    return _union([profiling.load_order(lake.read_table(c.table), c.table, c.sort) for c in tables])
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, first: Contract, attendance_only: bool) -> Lake:
+    """A lake whose mart was loaded under ``first``, then merged with the mart from one day on."""
+    t = _Tables(spark, sf_dir)
+    lake = Lake(spark, f"{new_folder(spark)}/lake")
+    assessments = t.assessments.where(F.lit(False)) if attendance_only else t.assessments
+    old = mart.class_daily_performance(t.dim, t.attendance, assessments, computed_at=LANDED_AT)
+    lake.upsert_table(old.select(*first.columns), first)
+    new = mart.class_daily_performance(t.dim, t.attendance, t.assessments, computed_at=LANDED_AT)
+    lake.upsert_table(new.where(F.col("date") >= F.lit(DAY).cast("date")), MART)
+    return lake
+
+
+@query
+def stored_mart_upsert(spark, sf_dir):
+    """``mart_upsert`` over stored tables, with the load whose files hold each row."""
+    lake = _two_loads(spark, sf_dir, MART, attendance_only=True)
+    description = lake.describe(MART.table)
+    folders = spark.createDataFrame(
+        [(f.split("=")[-1], int(f.split("/")[0][2:])) for f in description.folders], "day string, loaded_by int"
+    )
+    rows = lake.read_table(MART.table).drop("_computed_at")
+    return rows.join(folders, F.col("date").cast("string") == F.col("day")).drop("day")
+
+
+@query
+def stored_mart_defaults(spark, sf_dir):
+    """Days loaded before the mart had its three assessment columns, beside days loaded since."""
+    added = ("students_with_assessment", "assessment_count", "avg_score")
+    before = replace(MART, fields=tuple(f for f in MART.fields if f.name not in added))
+    return _two_loads(spark, sf_dir, before, attendance_only=False).read_table(MART.table).drop("_computed_at")
+
+
+@query
+def stored_mart_head(spark, sf_dir):
+    """The mart's first rows by day, from the first days' folders alone."""
+    t = _Tables(spark, sf_dir)
+    lake = Lake(spark, f"{new_folder(spark)}/lake")
+    lake.replace_table(t.mart, MART)
+    return lake.table_head(MART.table, 20, ["date", "class_id"]).drop("_computed_at")
+
+
+@query
+def profile_previews(spark, sf_dir):
+    """The first rows of each source by its id, and the least three stamps."""
+    t = _Tables(spark, sf_dir)
+    shown = {"students": ("student_id", "class_id"), "attendance": ("attendance_id", "status"), "assessments": ("assessment_id", "subject")}
+    parts = [
+        profiling.preview(t.raw(e), order_by=[record]).select(F.lit(e).alias("table_name"), F.col(record).alias("record_id"), F.col(detail).alias("detail"))
+        for e, (record, detail) in shown.items()
+    ]
+    for e, column in (("students", "updated_at"), ("attendance", "created_at")):
+        values = profiling.distinct_preview(t.raw(e), column)
+        parts.append(values.select(F.lit(e).alias("table_name"), F.lit(column).alias("record_id"), F.col(column).alias("detail")))
+    return _union(parts)
+
+
+@query
+def validate_isolated(spark, sf_dir):
+    """Rules of which one can't run: it counts as passed, the others are judged."""
+    t = _Tables(spark, sf_dir)
+    rules = t.rules("students")
+    rules[5] = quality.matches("class_id", "CLASS-[")
+    return quality.evaluate_isolated(t.raw("students"), rules)
+
+
 # --- Gold -------------------------------------------------------------------
 @query
 def gold_dim_students(spark, sf_dir):
@@ -423,6 +519,20 @@ _on_mart("report_present_absent", reports.present_absent_by_class)
 _on_mart("report_mart_table", reports.mart_table)
 
 
+@query
+def report_request_limits(spark, sf_dir):
+    """One request without a limit, under a server's default and without any, and one that names its own."""
+    t = _Tables(spark, sf_dir)
+    table = reports.Request(columns=["class_id", "date", "present_count"], order_by=["class_id", "date"])
+    server = reports.RequestSettings(default_limit=25)
+    asked = {
+        "default": (table, server),
+        "named": (replace(table, row_limit=40), server),
+        "all": (table, reports.RequestSettings()),
+    }
+    return _union([reports.answer(t.mart, *a).select(F.lit(name).alias("request"), "*") for name, a in asked.items()])
+
+
 @query
 def students_per_class_grade(spark, sf_dir):
     return reports.students_per_class_and_grade(_Tables(spark, sf_dir).dim)

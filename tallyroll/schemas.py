@@ -62,6 +62,12 @@ class Contract:
     fields: tuple[Field, ...]
     # Order of rows inside each file, so that row groups can be skipped.
     sort: tuple[str, ...]
+    # A date of the key: rows are kept in one folder per day, and a merge touches only the days of its batch.
+    day: str | None = None
+
+    def __post_init__(self):
+        if self.day is not None and self.day not in self.key:
+            raise ValueError(f"{self.table}: the day must be part of the key")
 
     @property
     def columns(self) -> list[str]:
@@ -145,6 +151,7 @@ MART = Contract(
         Field("_computed_at", "timestamp_ntz", default=UTC_NOW),
     ),
     sort=("date", "class_id"),
+    day="date",
 )
 
 CONTRACTS = {c.table: c for c in (DIM_STUDENTS, FACT_ATTENDANCE, FACT_ASSESSMENTS, MART)}

@@ -1,14 +1,18 @@
 """Files, batch folders, Gold versions and the whole run."""
 
 import json
+from dataclasses import replace
 from datetime import datetime, timezone
+from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tallyroll import fixtures
 from tallyroll.plans import profiling
 from tallyroll.plans.gold import typed, with_defaults
+from tallyroll.plans.profiling import file_order, inferred_schema, load_order
 from tallyroll.plans.runner import Pipeline
 from tallyroll.queries import QUERIES
 from tallyroll.schemas import CONTRACTS, DIM_STUDENTS, FACT_ATTENDANCE, MART, SOURCE_COLUMNS, UTC_NOW
@@ -146,6 +150,150 @@ def test_upsert_table(spark, tmp_path):
     assert ids(lake) == ["S-1", "S-2", "S-3"]
 
 
+def mart_of(spark, *rows):
+    """Mart rows from (class, day, present)."""
+    return spark.createDataFrame(list(rows), "class_id string, date string, present_count int").withColumn("date", F.col("date").cast("date"))
+
+
+def day_files(lake):
+    return {f: sorted(p.name for p in (Path(lake.table_path(MART.table)) / f).glob("*.parquet")) for f in lake.describe(MART.table).folders}
+
+
+def test_a_merge_writes_only_its_own_days(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    assert lake.upsert_table(mart_of(spark, *((c, d, 1) for c in "AB" for d in days)), MART) == 20
+    before = day_files(lake)
+    assert lake.upsert_table(mart_of(spark, ("A", days[4], 7), ("C", days[4], 8), ("A", "2024-02-01", 9)), MART) == 3
+    after = day_files(lake)
+    unchanged = {f for f in before if not f.endswith(days[4])}
+    assert {f: after[f] for f in unchanged} == {f: before[f] for f in unchanged}
+    assert set(after) - set(before) == {"v=000002/date=2024-01-05", "v=000002/date=2024-02-01"}
+    rows = {(r.class_id, str(r.date)): r.present_count for r in lake.read_table(MART.table).collect()}
+    assert len(rows) == 22 and rows["A", days[4]] == 7 and rows["B", days[4]] == 1 and rows["C", days[4]] == 8
+    assert lake.describe(MART.table).folders["v=000002/date=2024-01-05"] == 3
+    # Only the folders of a day that is asked for are read.
+    asked = lake.read_table(MART.table).where("date = date'2024-01-05'")
+    assert asked.count() == 3 and "PartitionFilters: [isnotnull(date" in asked._jdf.queryExecution().toString()
+
+
+def test_old_versions_leave_the_days_still_used(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    for present, days in enumerate((("01", "02", "03"), ("02",), ("03",), ("03",))):
+        lake.upsert_table(mart_of(spark, *(("A", f"2024-01-{d}", present) for d in days)), MART)
+    assert lake.drop_old_versions(MART.table, keep=1) == [1, 2, 3]
+    left = sorted(str(p.relative_to(lake.table_path(MART.table))) for p in Path(lake.table_path(MART.table)).glob("v=*/date=*"))
+    assert left == ["v=000001/date=2024-01-01", "v=000002/date=2024-01-02", "v=000004/date=2024-01-03"]
+    assert sorted((str(r.date), r.present_count) for r in lake.read_table(MART.table).collect()) == [
+        ("2024-01-01", 0), ("2024-01-02", 1), ("2024-01-03", 3),
+    ]
+    lake.upsert_table(mart_of(spark, *(("A", f"2024-01-{d}", 9) for d in ("01", "02", "03"))), MART)
+    lake.drop_old_versions(MART.table, keep=1)
+    assert [p.name for p in Path(lake.table_path(MART.table)).glob("v=*")] == ["v=000005"]
+
+
+def test_a_refused_merge_changes_nothing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.upsert_table(mart_of(spark, ("A", "2024-01-01", 1)), MART)
+    with pytest.raises(ContractViolation, match="class_id_length"):
+        lake.upsert_table(mart_of(spark, ("A" * 21, "2024-01-01", 2)), MART)
+    with pytest.raises(ContractViolation, match="date_not_null"):
+        lake.upsert_table(mart_of(spark, ("A", None, 2)), MART)
+    assert [r.present_count for r in lake.read_table(MART.table).collect()] == [1]
+    assert lake.live_version(MART.table) == 1 and len(list(Path(lake.table_path(MART.table)).glob("v=*"))) == 1
+
+
+def test_a_load_killed_before_its_marker_is_not_seen(spark, tmp_path, monkeypatch):
+    """Whatever step is the last one, readers get the rows of before."""
+    lake = Lake(spark, str(tmp_path))
+    lake.write_batch(spark.range(5), "silver", "students", DAY)
+    lake.upsert_table(mart_of(spark, ("A", "2024-01-01", 1)), MART)
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*_):
+        raise Killed
+
+    for step in ("_publish", "_remove"):  # with _remove gone too, nothing is cleaned up, as after a kill
+        monkeypatch.setattr(Lake, step, killed)
+        with pytest.raises(Killed):
+            lake.write_batch(spark.range(9), "silver", "students", DAY)
+        with pytest.raises(Killed):
+            lake.upsert_table(mart_of(spark, ("A", "2024-01-01", 2), ("B", "2024-01-02", 2)), MART)
+        assert lake.read_batch("silver", "students", DAY).count() == 5
+        assert [r.present_count for r in lake.read_table(MART.table).collect()] == [1]
+    monkeypatch.undo()
+    assert lake.write_batch(spark.range(9), "silver", "students", DAY) == 9
+    lake.upsert_table(mart_of(spark, ("B", "2024-01-02", 3)), MART)
+    assert lake.read_batch("silver", "students", DAY).count() == 9
+    assert sorted(r.present_count for r in lake.read_table(MART.table).collect()) == [1, 3]
+
+
+def test_reruns_keep_one_batch_behind_the_live_one(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    for n in (1, 2, 3, 4):
+        lake.write_batch(spark.range(n), "bronze", "students", DAY)
+    assert sorted(p.name for p in Path(lake.batch_path("bronze", "students", DAY)).glob("v=*")) == ["v=000003", "v=000004"]
+    assert lake.read_batch("bronze", "students", DAY).count() == 4
+    with pytest.raises(LookupError):
+        lake.read_batch("bronze", "students", "1999-01-01")
+
+
+def test_files_from_before_a_column_have_its_default(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    added = ("assessment_count", "avg_score", "_computed_at")
+    before = replace(MART, fields=tuple(f for f in MART.fields if f.name not in added))
+    lake.replace_table(mart_of(spark, ("A", "2024-01-01", 1), ("A", "2024-01-02", 1)), before)
+    lake.upsert_table(mart_of(spark, ("A", "2024-01-02", 2), ("A", "2024-01-03", 2)).withColumn("assessment_count", F.lit(4)), MART)
+    rows = {str(r.date): r for r in lake.read_table(MART.table).collect()}
+    assert [(rows[d].assessment_count, str(rows[d].avg_score), rows[d].present_count) for d in sorted(rows)] == [
+        (0, "0.00", 1), (4, "0.00", 2), (4, "0.00", 2),
+    ]
+    # A default of the time is taken once, when the column comes to the table.
+    stamp = rows["2024-01-01"]["_computed_at"]
+    assert stamp is not None and {r["_computed_at"] for r in lake.read_table(MART.table).where("date = '2024-01-01'").collect()} == {stamp}
+
+
+def test_a_head_reads_the_first_days_only(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    assert lake.table_head(MART.table, 3, ["date", "class_id"]).collect() == []
+    lake.upsert_table(mart_of(spark, *((c, f"2024-01-{d:02d}", d) for c in "BA" for d in range(1, 20))), MART)
+    lake.upsert_table(mart_of(spark, ("C", "2024-01-02", 0)), MART)
+    head = lake.table_head(MART.table, 4, ["date", "class_id"])
+    assert [(r.class_id, r.date.day) for r in head.collect()] == [("A", 1), ("B", 1), ("A", 2), ("B", 2)]
+    assert len(head.inputFiles()) == 2 < len(lake.read_table(MART.table).inputFiles())
+    with pytest.raises(ValueError):
+        lake.table_head(MART.table, 4, ["class_id"])
+
+
+def test_disorder_in_files_is_counted(spark, tmp_path):
+    for name, ids in (("a", [1, 2, 3, 3, 9]), ("b", [5, 4, 6, 2])):
+        spark.createDataFrame([(i,) for i in ids], "id int").coalesce(1).write.parquet(str(tmp_path / "t" / name))
+    stored = spark.read.parquet(str(tmp_path / "t" / "a"), str(tmp_path / "t" / "b"))
+    files = [r[1:3] + (r.first_key.id, r.last_key.id, r.overlaps) for r in file_order(stored, ["id"]).orderBy("row_count").collect()]
+    assert files == [(4, 2, 5, 2, True), (5, 0, 1, 9, False)]
+    assert tuple(load_order(stored, "t", ["id"]).first()) == ("t", 9, 2, 1, "1", "9")
+    empty = load_order(stored.where("id > 99"), "t", ["id"]).first()
+    assert tuple(empty)[:4] == ("t", 0, 0, 0)
+
+
+def test_types_agree_with_the_sniffing_of_another_engine(spark, tmp_path, sf_dir):
+    """Kinds that Spark infers from files, and those that DuckDB finds in the same files."""
+    kinds = {"BIGINT": "integer", "DOUBLE": "double", "DATE": "date", "TIMESTAMP": "timestamp", "VARCHAR": "string"}
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "header": True}
+    for entity in ("students", "attendance"):
+        fixtures.raw(spark, sf_dir, entity).coalesce(1).write.options(**plain).csv(f"{tmp_path}/{entity}")
+        found = {r.column_name: r.kind for r in inferred_schema(read_csv_typed(spark, f"{tmp_path}/{entity}"), entity).collect()}
+        sniffed = duckdb.sql(f"DESCRIBE SELECT * FROM read_csv('{tmp_path}/{entity}/*.csv', sample_size = -1)").fetchall()
+        assert found == {c: kinds[t] for c, t, *_ in sniffed}
+    numbers = fixtures.raw(spark, sf_dir, "assessments").selectExpr("* except (score)", "cast(score as double) as score")
+    numbers.coalesce(1).write.json(f"{tmp_path}/a")
+    found = {r.column_name: r.kind for r in inferred_schema(read_json_typed(spark, f"{tmp_path}/a", json_lines=True), "a").collect()}
+    sniffed = duckdb.sql(f"DESCRIBE SELECT * FROM read_json('{tmp_path}/a/*.json', sample_size = -1)").fetchall()
+    assert {c: found[c] for c in ("score", "subject", "assessment_id")} == {c: kinds[t] for c, t, *_ in sniffed if c in ("score", "subject", "assessment_id")}
+
+
 # --- the whole run ----------------------------------------------------------------
 STUDENTS = [
     ["S-0001", "Ann", "CLASS-01", "10", "ACTIVE", "2025-01-01 00:00:00"],
@@ -217,7 +365,7 @@ def test_whole_run(spark, tmp_path):
     ]
 
     pipeline.run("2025-01-03")
-    assert len(list((tmp_path / "lake" / "gold" / MART.table).glob("v=*"))) == 2
+    assert len(list((tmp_path / "lake" / "gold" / MART.table).glob("v=*/_LIVE"))) == 2
 
     views = pipeline.lake.register_views(DAY)
     assert "mart_class_daily_performance" in views and "silver_students" in views
