@@ -18,7 +18,7 @@ import re
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
-from itertools import accumulate
+from itertools import accumulate, chain
 from pathlib import Path
 from urllib.parse import urlparse
 from zlib import crc32
@@ -43,7 +43,7 @@ LEVEL = 1  # of zstd
 END_ID = 2
 
 _BATCH_BYTES = 4 << 20
-_KNOWN_UNITS, _KNOWN_PARTS = 300_000, 600_000
+_KNOWN_UNITS, _KNOWN_PARTS = 300_000, 800_000
 _MANIFEST = "part int, file string, n_docs long, n_ids long"
 
 
@@ -69,28 +69,29 @@ class _Memory:
 class TextIds:
     """Ids of whole texts under a byte-level BPE file, as bytes of little-endian numbers of ``kind``.
 
-    A text is cut at lone spaces, where a token always begins (see
-    ``tokens.stable``), and the ids of stretches are remembered. A new stretch of Latin letters,
-    ASCII digits, punctuation and single line breaks is cut further as the pre-tokenizer
-    does, and many new parts are encoded as one text with line breaks between
-    them. Whatever is not that simple is encoded whole.
+    A text of Latin letters, ASCII digits, punctuation and white space is cut into pre-tokens by
+    the tokenizer's own pattern over these classes. The ids of pre-tokens are remembered, and many new ones are
+    encoded as one text with line breaks between them. Any other text is cut at lone spaces,
+    where a token always begins (see ``tokens.stable``); stretches are treated the same way
+    if they are that simple and encoded as they are if not.
     """
 
     LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-    # Latin letters, ASCII punctuation, ASCII digits: the pre-tokenizer's classes, as far as they are used here.
-    PART = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ʯ]+| ?[!-/:-@\[-`{-~]+| ?[0-9]+|\n")
-    CONTRACTION = re.compile(r"'[A-Za-z]")
+    # The pre-tokenizer's pattern, with its classes cut down to Latin letters, ASCII digits, punctuation and white space.
+    PART = re.compile(
+        r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-zÀ-ÖØ-öø-ʯ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
+    )
     TOGETHER = 1024
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)")
         newline = self._encode(["\n"])[0]
         self.newline = newline[0] if len(newline) == 1 else None
-        self.first, self.later = _Memory(_KNOWN_UNITS), _Memory(_KNOWN_UNITS)
-        self.parts = _Memory(_KNOWN_PARTS)
+        self.parts, self.stretches = _Memory(_KNOWN_PARTS), _Memory(_KNOWN_UNITS)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -98,51 +99,60 @@ class TextIds:
     def _cut(self, text: str) -> list[str] | None:
         """The pre-tokens of a simple text."""
         found = self.PART.findall(text)
-        simple = sum(map(len, found)) == len(text) and "\n\n" not in text and not self.CONTRACTION.search(text)
-        return found if simple and not any(s in text for s in self.special) else None
+        return found if sum(map(len, found)) == len(text) and not self.special.search(text) else None
 
     def _learn_parts(self, parts: set[str]) -> None:
         unknown = self.parts.missing(parts)
-        if "\n" in unknown:
-            unknown.remove("\n")
-            self.parts.now["\n"] = np.array([self.newline], self.kind).tobytes()
-        groups = [unknown[i : i + self.TOGETHER] for i in range(0, len(unknown), self.TOGETHER)]
+        plain = [p for p in unknown if not p.isspace()] if self.newline is not None else []
+        alone = [p for p in unknown if p.isspace()] if self.newline is not None else unknown
+        groups = [plain[i : i + self.TOGETHER] for i in range(0, len(plain), self.TOGETHER)]
         for group, ids in zip(groups, self._encode(["\n".join(g) for g in groups])):
             cuts = np.flatnonzero(ids == self.newline)
-            if len(cuts) == len(group) - 1:
-                begins, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-                self.parts.now.update((p, ids[a:b].tobytes()) for p, a, b in zip(group, begins, ends))
-            else:
-                self.parts.now.update((p, i.tobytes()) for p, i in zip(group, self._encode(group)))
-
-    def _learn(self, memory: _Memory, units: set[str], before: str) -> None:
-        whole, cut = [], []
-        for unit in memory.missing(units):
-            # Unless it stands at an end of its text, white space beside the cut makes the cut unsafe.
-            if not unit or unit[0].isspace() or unit[-1].isspace():
-                memory.now[unit] = None
+            if len(cuts) != len(group) - 1:
+                alone += group
                 continue
-            parts = self._cut(before + unit) if self.newline is not None else None
-            (whole.append(unit) if parts is None else cut.append((unit, parts)))
-        self._learn_parts({p for _, parts in cut for p in parts})
-        get = self.parts.now.__getitem__
-        memory.now.update((unit, b"".join(map(get, parts))) for unit, parts in cut)
-        memory.now.update((u, i.tobytes()) for u, i in zip(whole, self._encode([before + u for u in whole])))
-
-    def _apart(self, text: str) -> bytes:
-        """Ids of a text whose spaces are not all lone ones."""
-        first, *later = self.LONE_SPACE.split(text)
-        middle, last = set(later[:-1]), later[-1:]
-        self._learn(self.later, middle, " ")
-        ends = [i.tobytes() for i in self._encode([first, *(" " + t for t in last)])]
-        return b"".join([ends[0], *map(self.later.now.__getitem__, later[:-1]), *ends[1:]])
+            width, data = self.kind.itemsize, ids.tobytes()
+            begins = [0, *(width * (cuts + 1)).tolist()]
+            ends = [*(width * cuts).tolist(), len(data)]
+            self.parts.now.update((p, data[a:b]) for p, a, b in zip(group, begins, ends))
+        self.parts.now.update((p, i.tobytes()) for p, i in zip(alone, self._encode(alone)))
+
+    def _joined(self, cut: Iterable[list[str] | None]) -> list[bytes | None]:
+        """Ids from pre-tokens; None where there are none."""
+        out, waiting = [], []
+        get = self.parts.now.get
+        for i, parts in enumerate(cut):
+            found = None if parts is None else list(map(get, parts))
+            if found and None in found:
+                waiting.append((i, parts))
+                found = None
+            out.append(None if found is None else b"".join(found))
+        if waiting:
+            self._learn_parts(set(chain.from_iterable(parts for _, parts in waiting)))
+            known = self.parts.now.__getitem__
+            for i, parts in waiting:
+                out[i] = b"".join(map(known, parts))
+        return out
+
+    def _stretches(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are not simple, by their stretches between lone spaces."""
+        split = []
+        for text in texts:
+            first, *later = self.LONE_SPACE.split(text)
+            split.append([first, *(" " + s for s in later)])
+        unknown = self.stretches.missing(set(chain.from_iterable(split)))
+        known = self.stretches.now
+        known.update(zip(unknown, self._joined(map(self._cut, unknown))))
+        others = [s for s in unknown if known[s] is None]
+        known.update((s, i.tobytes()) for s, i in zip(others, self._encode(others)))
+        return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in split}, "")
-        self._learn(self.later, {piece for p in split for piece in p[1:]}, " ")
-        found = [[self.first.now[p[0]], *map(self.later.now.__getitem__, p[1:])] for p in split]
-        return [b"" if not t else self._apart(t) if None in f else b"".join(f) for t, f in zip(texts, found)]
+        out = self._joined(map(self._cut, texts))
+        others = [i for i, found in enumerate(out) if found is None]
+        for i, found in zip(others, self._stretches([texts[i] for i in others])):
+            out[i] = found
+        return out
 
 
 @lru_cache(maxsize=1)
