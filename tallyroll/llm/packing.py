@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache, partial
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -22,39 +23,48 @@ from tallyroll.llm.tokens import tokenizer_at
 CAPACITY = 2048
 END_ID = 0
 _BATCH_BYTES = 4 << 20
-_KNOWN_WORDS = 300_000
+_KNOWN_PARTS = 800_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class _WordIds:
-    """Token ids of words as little-endian bytes, remembered while there are few.
-
-    The tokenizer drops white space and never lets a token cross it, so the ids
-    of a text are those of its words. Words are cut at the six ASCII blanks; other
-    white space stays inside a word and is left to the tokenizer.
-
-    Most words are letters with ASCII punctuation behind them. The tokenizer
-    splits these there, so both parts are known by themselves, and many new
-    letter parts are encoded as one text: each ends with the one token that
-    closes a word.
+    """Token ids of texts as little-endian bytes; those of pre-tokens are remembered while there are few.
+
+    The tokenizer composes and lower-cases the text, drops white space and cuts the rest into runs of
+    letters, single digits and runs of other signs, and no token crosses such a cut. In a text of
+    Latin letters that are one character in lower case, ASCII digits, punctuation and white space, composing
+    changes nothing and the cuts are those of ``PART``. Many new pre-tokens are encoded
+    as one text: each ends with the one token that closes it. Other texts are cut at the six ASCII blanks;
+    words that are simple are treated the same way and others encoded as they are.
     """
 
-    PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
-    TOGETHER = 256
+    # U+0130 is left out: in lower case it is a letter and a mark, and the mark joins the signs behind it.
+    LETTERS = "A-Za-zÀ-ÖØ-öø-įıĲ-ʯ"
+    SIMPLE = re.compile(rf"[{LETTERS}0-9!-/:-@\[-`{{-~ \t-\r]*")
+    # Of a simple text in lower case; two of the letters have a small one far outside.
+    PART = re.compile(r"'(?:[sdmt]|ll|ve|re)|[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
+    TOGETHER = 1024
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)")
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in encoded]
 
-    def _learn_letters(self, parts: list[str]) -> None:
+    def _cut(self, text: str) -> list[str] | None:
+        """The pre-tokens of a simple text."""
+        if not self.SIMPLE.fullmatch(text) or self.special.search(text):
+            return None
+        return self.PART.findall(text.lower())
+
+    def _learn(self, parts: list[str]) -> None:
         groups = [parts[i : i + self.TOGETHER] for i in range(0, len(parts), self.TOGETHER)]
         for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
             ends = np.flatnonzero(self.closing[ids]) + 1
@@ -65,30 +75,38 @@ class _WordIds:
             else:
                 self.parts.update((p, i.tobytes()) for p, i in zip(group, self._encode(group)))
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain, others = [], []
-        for word in words:
-            text = word.decode()
-            m = self.PLAIN.fullmatch(text)
-            # Only letters may share a pre-token; lower case is the tokenizer's own beyond ASCII.
-            if m and m[1].isalpha():
-                plain.append((word, m[1].lower() if m[1].isascii() else m[1], m[2]))
-            else:
-                others.append((word, text))
-        self._learn_letters(list({letters for _, letters, _ in plain}.difference(self.parts)))
-        tails = list({tail for _, _, tail in plain}.difference(self.parts))
-        self.parts.update((t, i.tobytes()) for t, i in zip(tails, self._encode(tails)))
-        self.known.update((word, self.parts[letters] + self.parts[tail]) for word, letters, tail in plain)
-        self.known.update((word, i.tobytes()) for (word, _), i in zip(others, self._encode([t for _, t in others])))
+    def _joined(self, cut: Iterable[list[str] | None]) -> list[bytes | None]:
+        """Ids from pre-tokens; None where there are none."""
+        if len(self.parts) > _KNOWN_PARTS:
+            self.parts.clear()
+        out, waiting = [], []
+        get = self.parts.get
+        for i, parts in enumerate(cut):
+            found = None if parts is None else list(map(get, parts))
+            if found and None in found:
+                waiting.append((i, parts))
+                found = None
+            out.append(None if found is None else b"".join(found))
+        self._learn(list(set(chain.from_iterable(parts for _, parts in waiting)).difference(self.parts)))
+        for i, parts in waiting:
+            out[i] = b"".join(map(self.parts.__getitem__, parts))
+        return out
+
+    def _by_words(self, texts: list[bytes]) -> list[bytes]:
+        # Other white space than the six blanks stays inside a word and is left to the tokenizer.
+        split = [[w.decode() for w in t.split()] for t in texts]
+        words = list(set(chain.from_iterable(split)))
+        known = dict(zip(words, self._joined(map(self._cut, words))))
+        others = [w for w in words if known[w] is None]
+        known.update((w, i.tobytes()) for w, i in zip(others, self._encode(others)))
+        return [b"".join(map(known.__getitem__, t)) for t in split]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > _KNOWN_WORDS:
-            self.known.clear()
-        if len(self.parts) > _KNOWN_WORDS:
-            self.parts = {"": b""}
-        split = [t.split() for t in texts]
-        self._learn(list({w for words in split for w in words}.difference(self.known)))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        out = self._joined(self._cut(t.decode()) for t in texts)
+        others = [i for i, found in enumerate(out) if found is None]
+        for i, found in zip(others, self._by_words([texts[i] for i in others])):
+            out[i] = found
+        return out
 
 
 @lru_cache(maxsize=1)

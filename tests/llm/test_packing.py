@@ -46,6 +46,17 @@ def test_ids_of_words_are_those_of_the_text(text):
     assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_that_change_in_composing_or_lower_case():
+    """Every letter of the basic plane before several marks and signs."""
+    words = packing._words_of(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x10000) if chr(c).isalpha() and not 0x4E00 <= c < 0xD7A4]
+    texts = [f"{c}{sign}" for c in letters for sign in (".", "!x", "'s", "\u0301", "9")]
+    for at in range(0, len(texts), 4000):
+        part = texts[at : at + 4000]
+        wanted = [e.ids for e in TOKENIZER.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(i, "<u4").tolist() for i in words.ids([t.encode() for t in part])] == wanted
+
+
 def best_fit(lengths, capacity):
     """The number of sequences of plain best-fit decreasing."""
     gaps = []
