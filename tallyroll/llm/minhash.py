@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tallyroll.llm.common import maybe_among, mix64, packed, row_slices, ship, written
+from tallyroll.llm.common import maybe_among, mix64, packed, row_slices, ship, text_or_empty, written
 from tallyroll.llm.components import connected_components
 
 SHINGLE = 5
@@ -19,14 +19,14 @@ SIMILARITY = 75  # percent
 BANDS, ROWS = 36, 5
 # Estimates from 180 minima spread by 0.032 at 0.75: this floor lies almost five of those below.
 LEAST_ESTIMATE = 0.60
-# Buckets of more than SMALL members are compared blockwise. There sets are held as 32-bit hashes, whose chance
-# meetings can shift a count a little: pairs within SLACK of the threshold go on to the full sets as well.
-SMALL, BLOCK, SLACK = 16, 256, 2
+# Nodes of buckets with more than SMALL members are compared blockwise. There sets are held as 32-bit hashes, whose
+# chance meetings can shift a count a little: pairs within SLACK of the threshold go on to the full sets as well.
+SMALL, BLOCK, SLACK = 16, 512, 2
 
 _BATCH_BYTES = 4 << 20
 _KNOWN_WORDS = 300_000
 
-_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, minima binary"
+_SKETCH = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, minima binary"
 _SETS = "node long, shingles binary"
 
 
@@ -123,13 +123,14 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([n[0] for n in names], pa.int64()),
                     pa.array([n[1] for n in names], pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(minima, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "minima"],
+                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "minima"],
             )
 
 
@@ -177,14 +178,10 @@ def _short_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _block_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of two blocks of one bucket (or inside one block), of different components, that are links or almost.
-
-    A pair that shares several buckets is looked at only in that of its first common band.
-    """
-    key, first, second = (group.column(c)[0].as_py() for c in ("key", "first", "second"))
+    """Pairs of two blocks of one family (or inside one block), of different components, that are links or almost."""
+    first, second = (group.column(c)[0].as_py() for c in ("first", "second"))
     block, node, component = (group.column(c).to_numpy() for c in ("block", "node", "component"))
     minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(len(node), -1)
-    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
     sets = [np.frombuffer(v.as_buffer(), np.uint32) for v in group.column("short")]
     sizes = np.array([len(s) for s in sets])
     a, b = [], []
@@ -194,7 +191,6 @@ def _block_pairs(group: pa.Table) -> pa.Table:
         likely &= 100 * np.minimum(sizes, sizes[i]) + 100 * SLACK >= SIMILARITY * np.maximum(sizes, sizes[i])
         likely = np.flatnonzero(likely)
         likely = likely[(minima[likely] == minima[i]).mean(axis=1) >= LEAST_ESTIMATE]
-        likely = likely[bands[i][(bands[likely] == bands[i]).argmax(axis=1)] == key]
         for j in likely:
             common = len(np.intersect1d(sets[i], sets[j], assume_unique=True)) + SLACK
             if 100 * common >= SIMILARITY * (sizes[i] + sizes[j] - common):
@@ -247,27 +243,31 @@ class _Links:
     def pairs_across(self, members: DataFrame) -> DataFrame:
         """Pairs (a < b) of open buckets, of different components, that may be links.
 
-        A small bucket gives all its pairs, at most SMALL / 2 for a member. A large
-        one is cut into blocks; two blocks at a time are compared inside a task,
+        A small bucket gives all its pairs, at most SMALL / 2 for a member. Nodes of large buckets
+        that hang together are one family, whatever number of buckets they share: a
+        family is cut into blocks, and two blocks at a time are compared inside a task,
         by signatures and then by sets, which gives out only links and near misses.
         """
         few = members.where(F.col("members") <= SMALL)
         other = few.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
         small = few.join(other, "key").where("node < other and component <> other_component")
-        many = members.where(F.col("members") > SMALL)
-        wanted = written(many.select("node").distinct())
-        short = self.sets.join(wanted, "node").mapInArrow(_short_batches, "node long, short binary")
-        held = written(short.join(self.nodes.select("node", "minima", "bands"), "node"))
-        blocks = F.expr(f"(members + {BLOCK - 1}) div {BLOCK}")
-        cut = many.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).join(held, "node")
-        cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        many = members.where(F.col("members") > SMALL).select("key", "node", "component")
+        least = written(many.groupBy("key").agg(F.min("node").alias("b")))
+        hung = many.join(least, "key").select(F.col("node").alias("a"), "b").distinct()
+        families = written(connected_components(hung).withColumnRenamed("component", "family"))
+        sizes = families.groupBy("family").agg(F.expr(f"(count(1) + {BLOCK - 1}) div {BLOCK}").alias("blocks"))
+        placed = families.join(written(sizes), "family").join(many.select("node", "component").distinct(), "node")
+        held = self.sets.join(families.select("node"), "node").mapInArrow(_short_batches, "node long, short binary")
+        held = written(held.join(self.nodes.select("node", "minima"), "node"))
+        cut = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(held, "node")
+        cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         cut = cut.select(
-            "key",
+            "family",
             F.least("block", "with").alias("first"),
             F.greatest("block", "with").alias("second"),
-            *["block", "node", "component", "minima", "bands", "short"],
+            *["block", "node", "component", "minima", "short"],
         )
-        large = cut.groupBy("key", "first", "second").applyInArrow(_block_pairs, "a long, b long")
+        large = cut.groupBy("family", "first", "second").applyInArrow(_block_pairs, "a long, b long")
         return small.select(F.col("node").alias("a"), F.col("other").alias("b")).union(large).distinct()
 
 
@@ -283,28 +283,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(texts.mapInArrow(_set_batches, _SETS).dropDuplicates(["node"]))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Documents linked when 100 * intersection >= 75 * union of their 5-word shingle sets.
-
-    Returns doc_id, n_shingles, component_id (the least doc_id of the group) and
-    kept, one row per row of ``docs`` (doc_id, text; others are ignored).
-
-    Equal sets are one node, so copies cost nothing. Candidates share a band of
-    minima. Linking every pair of a bucket would grow with its square, so each
-    bucket is first compared with one hub: its most popular member, which shares
-    its bands with most others, as the origin of a family of edited copies does.
-    Members outside the hub's component are then compared with the most popular
-    of them, and only pairs of a bucket that are still in different components
-    with each other, blockwise where a bucket is large: that finds every link that
-    could join two components.
-
-    NULL and blank texts have an empty set and stay alone. Rows with a NULL
-    doc_id take part; a group without any doc_id has component_id NULL, and its
-    rows are kept. Repeated doc_ids are judged row by row.
-    """
+def _judged(docs: DataFrame) -> DataFrame:
+    """What ``near_duplicates`` returns, with a hash of each row's text and a number for its group (NULL: alone)."""
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = written(docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_sketch_batches, _SKETCH))
+    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64(text_or_empty()).alias("text_hash"))
+    sketch = written(narrow.mapInArrow(_sketch_batches, _SKETCH))
     filled = sketch.where("n_shingles > 0")
     nodes = written(
         filled.groupBy("set_a", "set_b").agg(
@@ -341,10 +325,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.select("node", "set_a", "set_b", "least_doc").join(links.components(), "node", "left")
     named = written(named.withColumn("component", F.coalesce("component", "node")).drop("node"))
     least = written(named.groupBy("component").agg(F.min("least_doc").alias("component_id")))
-    named = written(named.join(least, "component").select("set_a", "set_b", "component_id"))
-    grouped = filled.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"])
-    alone = sketch.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    named = written(named.join(least, "component").select("set_a", "set_b", "component_id", "component"))
+    grouped = filled.select("doc_id", "n_shingles", "text_hash", "set_a", "set_b").join(named, ["set_a", "set_b"])
+    alone = sketch.where("n_shingles = 0")
+    alone = alone.withColumns({"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")})
+    columns = ["doc_id", "n_shingles", "component_id", "component", "text_hash"]
     return (
         grouped.select(*columns)
         .union(alone.select(*columns))
@@ -352,17 +337,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Documents linked when 100 * intersection >= 75 * union of their 5-word shingle sets.
+
+    Returns doc_id, n_shingles, component_id (the least doc_id of the group) and
+    kept, one row per row of ``docs`` (doc_id, text; others are ignored).
+
+    Equal sets are one node, so copies cost nothing. Candidates share a band of
+    minima. Linking every pair of a bucket would grow with its square, so each
+    bucket is first compared with one hub: its most popular member, which shares
+    its bands with most others, as the origin of a family of edited copies does.
+    Members outside the hub's component are then compared with the most popular
+    of them, and only pairs of a bucket that are still in different components
+    with each other, blockwise where buckets are large, once for all buckets that hang together: that
+    finds every link that could join two components.
+
+    NULL and blank texts have an empty set and stay alone. Rows with a NULL
+    doc_id take part; a group without any doc_id has component_id NULL, and its
+    rows are kept. Repeated doc_ids are judged row by row.
+    """
+    return _judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the near copies: of every group the row with the least doc_id stays.
+    """``docs`` without the near copies: of every group the row with the least doc_id (NULL last) stays.
 
-    Of rows that share a doc_id one stays; rows of groups without any doc_id all do.
+    Rows are told apart by doc_id and text: rows that share a doc_id but are in different groups are
+    judged apart, so one doc_id may stay with two texts. Between rows of one group and doc_id the
+    least hash of the text decides, and of rows equal in both one stays. Rows without words are in no group and all stay.
+    Very long texts are read whole; an empty table stays empty; other columns stay as they were.
     """
-    kept = written(near_duplicates(docs).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
-    verdicts = kept.select(F.col("doc_id").alias("_kept_id"), "n")
-    rows = rows.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-    once = rows.where("n = 1 and doc_id is not null").select("_row.*")
-    # A doc_id that is kept more than once belongs to repeated rows; the window cuts each group map-side.
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    again = rows.where("n > 1 and doc_id is not null").withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-    return once.unionByName(again.select("_row.*")).unionByName(rows.where("doc_id is null").select("_row.*"))
+    judged = written(_judged(docs).select("doc_id", "text_hash", "n_shingles", "component"))
+    listed = judged.where("n_shingles > 0").groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "n")
+    kept = listed.groupBy("component").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_hash", "kept.n")
+    wordless = judged.where("n_shingles = 0").select("doc_id", "text_hash", F.lit(1).cast("long").alias("n")).distinct()
+    verdicts = written(kept.union(wordless)).select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"), "n")
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), text_hash=F.xxhash64(text_or_empty()))
+    rows = rows.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("text_hash") == F.col("_kept_hash")))
+    once = rows.where("n = 1").select("_row.*")
+    # Equal rows; the window cuts each group map-side.
+    any_order = Window.partitionBy("doc_id", "text_hash").orderBy(F.xxhash64("_row"))
+    again = rows.where("n > 1").withColumn("_rank", F.row_number().over(any_order)).where("_rank = 1")
+    return once.unionByName(again.select("_row.*"))

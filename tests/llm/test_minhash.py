@@ -94,3 +94,16 @@ def test_large_buckets_against_all_pairs(docs_of, monkeypatch):
         if i % 9 == 0:
             rows.append((500 + i, " ".join([*own[:149], "end"])))
     assert answers(docs_of(rows)) == brute(rows)
+
+
+def test_one_row_of_each_group_stays(docs_of):
+    """Rows are judged by doc_id and text, not by doc_id alone."""
+    text = lambda name, n=30: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, text("a")), (1, text("b")), (2, text("c")), (None, text("c")), (None, text("d")), (None, text("d") + " more")]
+    rows += [(3, ""), (3, " "), (3, ""), (4, text("e")), (4, text("e")), (-(2**63), text("f")), (5, text("f")), (None, None), (None, text("g"))]
+    got = sorted((tuple(r) for r in minhash.keep_one_of_each(docs_of(rows)).select("doc_id", "text").collect()), key=repr)
+    null_ds = [r for r in got if r[0] is None and r[1] and r[1].startswith("d0")]
+    assert len(null_ds) == 1
+    wanted = [(1, text("a")), (1, text("b")), (2, text("c")), *null_ds, (3, ""), (3, " "), (3, ""), (4, text("e"))]
+    wanted += [(-(2**63), text("f")), (None, None), (None, text("g"))]
+    assert got == sorted(wanted, key=repr)
