@@ -54,12 +54,10 @@ WITH RECURSIVE worded AS (
            '[^\x20\x09-\x0D]+') AS words
   FROM documents
 ),
+-- Fewer than five words are one sequence.
 shingles AS (
-  SELECT DISTINCT doc_id, unnest(
-    CASE WHEN len(words) = 0 THEN []
-         WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-         ELSE list_transform(generate_series(1, len(words) - 4), i -> array_to_string(words[i:i + 4], ' ')) END) AS shingle
-  FROM worded
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM worded, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS places(i) WHERE len(words) > 0
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (
