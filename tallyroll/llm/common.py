@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -36,16 +37,54 @@ def ship(spark: SparkSession) -> None:
     context._tallyroll_shipped = True
 
 
+_SCOPES: list[list[DataFrame]] = []  # what each open ``scratch`` has written so far
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` computed now into the shared folder, and read back by column.
 
-    Cuts the lineage without holding data on any executor; the folder goes when
-    the application ends.
+    Cuts the lineage without holding data on any executor; the folder goes with the ``scratch`` it was written
+    in, else when the application ends.
     """
     spark = df.sparkSession
     path = new_folder(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    result = spark.read.schema(df.schema).parquet(path)
+    result._written_path = path
+    if _SCOPES:
+        _SCOPES[-1].append(result)
+    return result
+
+
+def drop_written(df: DataFrame) -> None:
+    """Deletes what ``written`` gave, once nothing reads it any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end all that was written inside, but what is given to the function that it yields.
+
+    What is kept belongs to the scratch around it, if there is one. Results that leave it must read nothing else.
+    """
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    _SCOPES.append([])
+    try:
+        yield keep
+    finally:
+        own = _SCOPES.pop()
+        for df in own:
+            if any(df is k for k in kept):
+                if _SCOPES:
+                    _SCOPES[-1].append(df)
+            else:
+                drop_written(df)
 
 
 def text_or_empty(column: str = "text") -> Column:

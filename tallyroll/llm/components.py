@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import written
+from tallyroll.llm.common import scratch, written
 
 
 def _with_least(links: DataFrame) -> DataFrame:
@@ -38,14 +38,17 @@ def connected_components(links: DataFrame) -> DataFrame:
     self links don't matter. Both steps keep the components, and every round
     either shortens the forest or leaves it a set of stars, which ends the loop.
     """
-    current = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = _state(current)
-    while state[0]:
-        current = written(_small_star(written(_large_star(current))))
-        after = _state(current)
-        if after == state:
-            break
-        state = after
+    with scratch() as keep:
+        current = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        state = _state(current)
+        while state[0]:
+            with scratch() as keep_round:
+                current = keep_round(written(_small_star(written(_large_star(current)))))
+            after = _state(current)
+            if after == state:
+                break
+            state = after
+        keep(current)
     leaves = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return leaves.union(roots)
