@@ -1,46 +1,54 @@
+import random
 import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from tallyroll.llm import lines
 
-
-def norm(line):
-    return re.sub(r"[\W_]+", " ", line.lower()).strip()
+WORDS = re.compile(r"[^\W_]+")
 
 
-def simhash(words):
-    bits = Counter()
-    for w in words:
-        h = xxh64_intdigest(w, 42)
-        for b in range(64):
-            bits[b] += h >> b & 1
-    return sum(1 << b for b in range(64) if bits[b] > len(words) // 2)
+def norm(line):
+    return " ".join(WORDS.findall(line.lower()))
 
 
 def edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        before, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
-    return row[-1]
+    """Edit distance, all cells of a column at once in the bits of a number."""
+    masks = defaultdict(int)
+    for i, c in enumerate(a):
+        masks[c] |= 1 << i
+    full, top, up, down, score = (1 << len(a)) - 1, 1 << len(a) >> 1, (1 << len(a)) - 1, 0, len(a)
+    for c in b:
+        same = masks[c]
+        across = (((same & up) + up) ^ up) | same
+        plus, minus = down | ~(across | up) & full, up & across
+        score += bool(plus & top) - bool(minus & top)
+        plus, minus = plus << 1 | 1, minus << 1
+        up, down = (minus | ~(same | down | plus)) & full, plus & (same | down) & full
+    return score if a else len(b)
+
+
+def similar(a, b):
+    most = 15 * max(len(a), len(b)) // 100
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = Counter(a), Counter(b)
+    if max((x - y).total(), (y - x).total()) > most:
+        return False
+    return edits(a, b) <= most
 
 
 def brute(rows):
     """Cleaned texts, by comparing every two distinct lines."""
-    first, hashed = {}, {}
-    ordered = sorted(rows, key=lambda r: r[0])
-    for doc_id, text in ordered:
+    first = {}
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
         for place, line in enumerate((text or "").split("\n")):
-            words = norm(line).split(" ")
-            if len(words) >= lines.LEAST_WORDS:
+            if norm(line):
                 first.setdefault(norm(line), (doc_id, place))
-                hashed[norm(line)] = simhash(words)
     parent = {n: n for n in first}
 
     def root(n):
@@ -48,8 +56,8 @@ def brute(rows):
             n = parent[n]
         return n
 
-    for a, b in combinations(first, 2):
-        if bin(hashed[a] ^ hashed[b]).count("1") <= lines.MOST_BITS and 100 * edits(a, b) <= 15 * max(len(a), len(b)):
+    for a, b in combinations(sorted(first, key=len), 2):
+        if root(a) != root(b) and similar(a, b):
             parent[root(a)] = root(b)
     kept = defaultdict(list)
     for n, at in first.items():
@@ -59,12 +67,8 @@ def brute(rows):
         if text is None:
             out.append((doc_id, None, 0, 0))
             continue
-        left = []
         split = text.split("\n")
-        for place, line in enumerate(split):
-            n = norm(line)
-            if len(n.split(" ")) < lines.LEAST_WORDS or min(kept[root(n)]) == (doc_id, place):
-                left.append(line)
+        left = [line for place, line in enumerate(split) if not norm(line) or min(kept[root(norm(line))]) == (doc_id, place)]
         out.append((doc_id, "\n".join(left), len(split), len(split) - len(left)))
     return sorted(out, key=repr)
 
@@ -73,16 +77,69 @@ def answers(df):
     return sorted((tuple(r) for r in lines.line_report(df).collect()), key=repr)
 
 
-def test_simhash_against_plain_counts(spark):
-    texts = [" ".join(f"w{i * n % 97}" for i in range(n)) for n in (1, 4, 31, 126, 127, 128, 254, 300, 70_000)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("words", F.split("t", " "))
-    got = {r["i"]: r["sim"] & (2**64 - 1) for r in lines.simhashes(df, ["i"]).collect()}
-    assert got == {i: simhash(t.split(" ")) for i, t in enumerate(texts)}
+def test_edit_distance():
+    assert [edits(*p) for p in (("", "ab"), ("kitten", "sitting"), ("abc", "abc"), ("ab" * 50, "ba" * 50))] == [2, 3, 0, 2]
+    rng = random.Random(6)
+
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab c") for _ in range(rng.randrange(25))) for _ in range(2))
+        n = table(a, b)
+        assert edits(a, b) == n
+        assert lines.edits_within(a, b, n) and not lines.edits_within(a, b, n - 1)
+    for _ in range(2000):
+        a = [rng.choice(["an", "and", "ant", "be", "bee", "x"]) for _ in range(rng.randrange(1, 30))]
+        b = [w for w in a if rng.random() < 0.95] or ["x"]
+        for _ in range(rng.randrange(3)):
+            b[rng.randrange(len(b))] = rng.choice(["an", "bee", "y"])
+        a, b = " ".join(a), " ".join(b)
+        assert lines.similar(a, b) == (edits(a, b) <= 15 * max(len(a), len(b)) // 100), (a, b)
+
+
+def test_normal_lines_and_their_keys_one_by_one():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdEFgİh日é_-ß²") for _ in range(rng.randint(1, 8)))
+    line = lambda: " ".join(word() for _ in range(rng.choice([0, 1, 2, 3, 8, 12, 20, 100, 600])))
+    texts = ["\n".join(line() for _ in range(rng.randint(0, 5))) for _ in range(120)]
+    chars, ends, text, place = lines.normal_lines(texts)
+    begins = [0, *ends[:-1].tolist()]
+    got = [(t, p, chars[b:e].tobytes().decode("utf-32-le")) for b, e, t, p in zip(begins, ends, text, place)]
+    assert got == [(i, j, norm(x)) for i, t in enumerate(texts) for j, x in enumerate(t.split("\n")) if norm(x)]
+    keys, offsets, signs = lines.line_keys(chars, ends)
+    for i, (b, e) in enumerate(zip(begins, ends)):
+        own, _, sign = lines.line_keys(chars[b:e], np.array([e - b]))
+        assert (keys[offsets[i] : offsets[i + 1]] == own).all() and (signs[i] == sign[0]).all()
+    assert [len(x) for x in lines.normal_lines([""])] == [0, 0, 0, 0]
+
+
+def test_simhash_against_plain_counts():
+    rng = np.random.default_rng(3)
+    counts = [1, 2, 4, 254, 255, 256, 300, 70_000]
+    words = rng.integers(0, 2**63, sum(counts), dtype=np.uint64)
+    first = np.cumsum([0, *counts[:-1]])
+    got = lines.simhashes(words, first)
+    for sim, a, n in zip(got.tolist(), first, counts):
+        part = words[a : a + n]
+        assert sim == sum(1 << b for b in range(64) if 2 * int((part >> np.uint64(b) & np.uint64(1)).sum()) > n)
 
 
 def test_given_documents_against_all_pairs(small_documents):
+    """Every line that goes would go if all pairs were compared, and nearly all that would go do."""
     rows = [(r["doc_id"], r["text"]) for r in small_documents.select("doc_id", "text").collect()]
-    assert answers(small_documents) == brute(rows)
+    got, want = answers(small_documents), brute(rows)
+    assert [(r[0], r[2]) for r in got] == [(r[0], r[2]) for r in want]
+    for g, w in zip(got, want):
+        assert not Counter((w[1] or "").split("\n")) - Counter((g[1] or "").split("\n")) - Counter([""])
+    found, all_ = sum(r[3] for r in got), sum(r[3] for r in want)
+    print("dropped", found, "of", all_)
+    assert all_ > 100 and found >= 0.97 * all_
     assert lines.dedup_lines(small_documents).columns == small_documents.columns
 
 
@@ -97,26 +154,43 @@ def test_near_lines_against_all_pairs(docs_of):
     assert sum(r[3] for r in got) > 40
 
 
-def test_replaced_words_are_found(docs_of):
-    """At 0.85 or more without any gate: one word of 8 to 20 replaced, three of 40, ten of 120."""
-    import random
-
-    rng = random.Random(3)
-    word = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
-    rows = []
-    for n, changes in [(8, 1), (12, 1), (20, 1), (40, 3), (80, 6), (120, 10)] * 20:
-        words = [word(rng.randint(4, 7)) for _ in range(n)]
+def made_pairs(rng, kind, n=60):
+    """Pairs of lines at 0.85 or more: whole words replaced, letters changed all over, or short and unspaced lines."""
+    letters = "abcdefghijklmnopqrst"
+    word = lambda k, of=letters: "".join(rng.choice(of) for _ in range(k))
+    pairs = []
+    while len(pairs) < n:
+        size = {"words": rng.choice([8, 12, 20, 40, 80, 120]), "letters": rng.choice([8, 12, 20]), "short": rng.choice([2, 3]), "unspaced": 1}[kind]
+        words = [word(rng.randint(4, 7)) for _ in range(size)]
         changed = list(words)
-        for at in rng.sample(range(n), changes):
-            changed[at] = word(len(words[at]))
+        if kind == "words":
+            for at in rng.sample(range(size), max(1, size // 13)):
+                changed[at] = word(len(words[at]))
+        elif kind == "letters":
+            for at in rng.sample(range(size), size // 2):
+                k = rng.randrange(len(words[at]))
+                changed[at] = words[at][:k] + "z" + words[at][k + 1 :]
+        elif kind == "short":
+            changed[0] = words[0][:-1] + "z"
+        else:
+            words = [word(56, "全権利留保者様方文字列日本語")]
+            k = rng.randrange(56)
+            changed = [words[0][:k] + "々" + words[0][k + 1 :]]
         a, b = " ".join(words), " ".join(changed)
-        assert 100 * edits(a, b) <= 15 * max(len(a), len(b))
-        rows += [(len(rows), a), (len(rows) + 1, b)]
+        if a != b and similar(a, b):
+            pairs.append((a, b))
+    return pairs
+
+
+# Of 60 pairs each, so many are found at least; what is not sure is told in the README.
+@pytest.mark.parametrize("kind, least", [("words", 54), ("letters", 20), ("short", 50), ("unspaced", 57)])
+def test_pairs_that_are_found(docs_of, kind, least):
+    pairs = made_pairs(random.Random(3), kind)
+    rows = [(2 * i + j, text) for i, p in enumerate(pairs) for j, text in enumerate(p)]
     dropped = {r[0] for r in answers(docs_of(rows)) if r[3]}
     assert dropped <= {i for i, _ in rows if i % 2}
-    found = {n: sum(i in dropped for i in range(1, 240, 2) if len(rows[i][1].split()) == n) for n in (8, 12, 20, 40, 80, 120)}
-    print("found of 20 by words", found)
-    assert all(n >= 18 for n in found.values()), found
+    print("found", kind, len(dropped), "of 60")
+    assert len(dropped) >= least
 
 
 def test_lines_of_one_simhash_that_differ_from_the_first(docs_of):
@@ -127,6 +201,32 @@ def test_lines_of_one_simhash_that_differ_from_the_first(docs_of):
         assert [r[3] for r in got] == [0, 0, 1, 0]
 
 
+def test_large_keys_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SALT", 3)
+    rows = [(1, 40, i, 50, 0, 0, 0, i // 3) for i in range(40)] + [(2, 2, 100 + i, 50, 0, 0, 0, i) for i in range(2)]
+    members = spark.createDataFrame(rows, "key long, members long, class long, n_chars int, s0 long, s1 long, s2 long, part long")
+    got = sorted((r["x"]["class"], r["y"]["class"]) for r in lines._across(members).collect())
+    assert got == sorted([(i, j) for i, j in combinations(range(40), 2) if i // 3 != j // 3] + [(100, 101)])
+
+
+def test_signatures_that_differ_are_counted(spark):
+    rng = random.Random(4)
+    rows, want = [], []
+    for agree in range(25):
+        a = [rng.randrange(256) for _ in range(24)]
+        b = [x if i < agree else (x + rng.randrange(1, 256)) % 256 for i, x in enumerate(a)]
+        longs = [np.array(v, np.uint8).view(np.int64).tolist() for v in (a, b)]
+        rows.append((agree, *longs[0], *longs[1]))
+        want.append(agree >= lines.AGREE)
+    df = spark.createDataFrame(rows, "n int, a0 long, a1 long, a2 long, b0 long, b1 long, b2 long")
+    side = lambda c, n: F.struct(F.lit(n).alias("n_chars"), *[F.col(f"{c}{i}").alias(f"s{i}") for i in range(3)])
+    got = df.select("n", side("a", 90).alias("x"), side("b", 100).alias("y"), side("b", 70).alias("z"), side("b", 107).alias("w"))
+    found = got.select("n", lines._alike("x", "y"), lines._alike("x", "z"), lines._alike("x", "w")).orderBy("n").collect()
+    assert [r[1] for r in found] == want
+    # Signatures of other grams are no reason to pass over a pair; lengths too far apart are.
+    assert not any(r[2] for r in found) and not any(r[3] for r in found)
+
+
 def test_short_lines_repeat_too(docs_of):
     long = "全ての権利は留保されています" * 5
     rows = [(1, f"All rights reserved\n\n{long}"), (2, f"own\nall rights reserved.\n\n{long}\n---"), (3, "Own!\n\n---")]
@@ -135,27 +235,17 @@ def test_short_lines_repeat_too(docs_of):
 
 
 def test_awkward_rows(docs_of, no_docs):
-    rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d e\na b c d e\na b c d e"), (5, "a b c d e"), (7, "x " * 5000 + "y")]
+    rows = [(-(2**63), "p q r s"), (1, None), (2, ""), (3, "\n\n"), (4, "a b c d e\na b c d e\na b c d e"), (5, "a b c d e"), (7, "x " * 5000 + "y")]
     assert answers(docs_of(rows)) == brute(rows)
-    same = docs_of([(8, "one two three four\nz"), (8, "one two three four\nz"), (None, "one two three four"), (None, None)])
+    same = docs_of([(8, "one two three four\nz"), (8, "one two three four\nz"), (None, "one two three four"), (None, None), (8, "another text")])
     texts = sorted((r["text"] for r in lines.dedup_lines(same).collect()), key=repr)
-    assert len(texts) == 4
+    assert len(texts) == 5 and texts.count("one two three four\nz") == 0
     assert answers(no_docs) == []
 
 
-@pytest.mark.parametrize("bits", [0, 1, 2])
-def test_close_hashes_meet_in_a_key(spark, bits):
-    import random
-
-    rng = random.Random(bits)
-    pairs = []
-    for _ in range(50):
-        a = rng.getrandbits(64)
-        b = a
-        for bit in rng.sample(range(64), bits):
-            b ^= 1 << bit
-        pairs.append((a, b))
-    signed = lambda v: v - (1 << 64) if v >> 63 else v
-    sims = spark.createDataFrame([(signed(v),) for p in pairs for v in p], "sim long").distinct()
-    got = {tuple(r) for r in lines._close_hashes(sims).collect()}
-    assert got == {tuple(sorted(map(signed, p))) for p in pairs if p[0] != p[1]}
+def test_texts_of_very_many_lines(docs_of, monkeypatch):
+    monkeypatch.setattr(lines, "_BATCH_BYTES", 50_000)
+    many = "\n".join(["the same line again and again", *(f"line {i}" if i % 2 else "the same line again and again" for i in range(60_000))])
+    got = answers(docs_of([(1, many), (2, "other")]))
+    assert got[0][2] == 60_001 and got[0][3] >= 30_000 and got[1][3] == 0
+    assert got[0][1].split("\n")[0] == "the same line again and again"
