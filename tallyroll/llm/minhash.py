@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from tallyroll.llm.common import maybe_among, mix64, packed, row_slices, ship, text_or_empty, written
+from tallyroll.llm.common import maybe_among, mix64, packed, row_slices, scratch, ship, text_or_empty, written
 from tallyroll.llm.components import connected_components
 
 SHINGLE = 5
@@ -283,12 +283,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(texts.mapInArrow(_set_batches, _SETS).dropDuplicates(["node"]))
 
 
-def _judged(docs: DataFrame) -> DataFrame:
-    """What ``near_duplicates`` returns, with a hash of each row's text and a number for its group (NULL: alone)."""
-    ship(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64(text_or_empty()).alias("text_hash"))
-    sketch = written(narrow.mapInArrow(_sketch_batches, _SKETCH))
+def _components_of(docs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(set_a, set_b, component_id, component) of every set of shingles that is not empty."""
     filled = sketch.where("n_shingles > 0")
     nodes = written(
         filled.groupBy("set_a", "set_b").agg(
@@ -310,22 +306,24 @@ def _judged(docs: DataFrame) -> DataFrame:
     hubs = written(members.groupBy("key").agg(F.max_by("node", rank).alias("hub")))
     links.verify(members.join(hubs, "key").where("node <> hub").select(*_ordered("hub", "node")).distinct())
 
-    members = links.open_members(members)
-    first = F.max_by("component", rank).alias("first")
-    outside = members.join(written(members.groupBy("key").agg(first)), "key").where("component <> first").drop("first")
-    outside = written(outside)
-    hubs = outside.groupBy("key").agg(F.max_by(F.struct("node", "component"), rank).alias("hub"))
-    hubs = written(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")))
-    others = members.join(hubs, "key").where("component <> hub_component")
-    links.verify(others.select(*_ordered("hub", "node")).distinct())
-
     members = links.open_members(members)
     links.verify(links.pairs_across(members))
 
     named = nodes.select("node", "set_a", "set_b", "least_doc").join(links.components(), "node", "left")
     named = written(named.withColumn("component", F.coalesce("component", "node")).drop("node"))
     least = written(named.groupBy("component").agg(F.min("least_doc").alias("component_id")))
-    named = written(named.join(least, "component").select("set_a", "set_b", "component_id", "component"))
+    return named.join(least, "component").select("set_a", "set_b", "component_id", "component")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """What ``near_duplicates`` returns, with a hash of each row's text and a number for its group (NULL: alone)."""
+    ship(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64(text_or_empty()).alias("text_hash"))
+    with scratch() as keep:
+        sketch = keep(written(narrow.mapInArrow(_sketch_batches, _SKETCH)))
+        named = keep(written(_components_of(docs, sketch)))
+    filled = sketch.where("n_shingles > 0")
     grouped = filled.select("doc_id", "n_shingles", "text_hash", "set_a", "set_b").join(named, ["set_a", "set_b"])
     alone = sketch.where("n_shingles = 0")
     alone = alone.withColumns({"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")})
@@ -347,8 +345,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     minima. Linking every pair of a bucket would grow with its square, so each
     bucket is first compared with one hub: its most popular member, which shares
     its bands with most others, as the origin of a family of edited copies does.
-    Members outside the hub's component are then compared with the most popular
-    of them, and only pairs of a bucket that are still in different components
+    Then only pairs of a bucket that are still in different components are compared
     with each other, blockwise where buckets are large, once for all buckets that hang together: that
     finds every link that could join two components.
 
