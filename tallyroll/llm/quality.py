@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import GAP, written
+from tallyroll.llm.common import GAP, scratch, written
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
@@ -17,6 +17,7 @@ MOST_REPEATED = 50  # percent of words in repeated 3-word windows
 SPREADS = {"word_length": 0.01, "symbols": 0.01, "lines": 0.01, "repeats": 0.01}
 DIMENSIONS = len(SPREADS)
 COVERED = 0.5  # share of rows whose covariance has the least determinant
+BROADCAST_GROUPS = 50_000  # of 25 numbers each: ten megabytes
 STEPS = 100  # at most; they end when no group's determinant falls, usually after 5 to 20
 LEAST_ROWS = 50  # fewer rows than this are estimated together with others
 # Chi-square with four degrees of freedom: its 0.999 quantile and its median.
@@ -174,6 +175,11 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     moments from partial sums, so a group of any size stays spread out. ``scale``
     makes the median distance that of a chi-square where it is larger.
     """
+    with scratch() as keep:
+        return keep(written(_least_determinant(vectors, steps)))
+
+
+def _least_determinant(vectors: DataFrame, steps: int) -> DataFrame:
     quartiles = [F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(f"q{i}") for i, x in enumerate(_X)]
     spreads = list(SPREADS.values())
     whole = [F.greatest(F.var_pop(x), F.lit(spreads[i] ** 2)).alias(f"v{i}") for i, x in enumerate(_X)]
@@ -193,12 +199,18 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         F.lit(float("inf")).alias("volume"),
     )
     now = written(now)
+    few = now.count() <= BROADCAST_GROUPS
+
+    def beside(df: DataFrame, table: DataFrame) -> DataFrame:
+        """Rows beside their group's row: where these are few, rows stay where they are, and a group is in all tasks."""
+        return df.join(F.broadcast(table) if few else table, "group")
+
     for _ in range(steps):
-        measured = vectors.join(now, "group").withColumn("_d", _distance(_X))
+        measured = beside(vectors, now).withColumn("_d", _distance(_X))
         radius = written(
             measured.groupBy("group").agg(F.percentile_approx("_d", F.lit(COVERED), F.lit(10_000)).alias("radius"))
         )
-        inside = measured.join(radius, "group").where(F.col("_d") <= F.col("radius"))
+        inside = beside(measured, radius).where(F.col("_d") <= F.col("radius"))
         off = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(_X)]
         sums = [F.sum(off[i]).alias(f"s{i}") for i in _P]
         products = [F.sum(off[i] * off[j]).alias(f"s{i}{j}") for i in _P for j in range(i + 1)]
@@ -207,10 +219,12 @@ def least_determinant(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
         now = written(_estimates(inside.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *sums, *products, *centres)))
         if not now.where("fell").head(1):
             break
-    measured = vectors.join(now, "group").withColumn("_d", _distance(_X))
+    else:
+        raise RuntimeError(f"determinants still fell after {steps} steps")
+    measured = beside(vectors, now).withColumn("_d", _distance(_X))
     median = F.percentile_approx("_d", F.lit(0.5), F.lit(10_000)) / MEDIAN
     scale = measured.groupBy("group").agg(F.greatest(F.lit(1.0), median).alias("scale"))
-    return written(now.join(scale, "group"))
+    return now.join(scale, "group")
 
 
 def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -227,7 +241,9 @@ def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
     vectors = measured.where("not base_failed").withColumns(_transformed()).select("lang", "source", *_X)
     placed = groups.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "group")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    estimates = least_determinant(vectors.join(placed, same).select("group", *_X))
+    with scratch() as keep:
+        vectors = written(vectors.join(placed, same).select("group", *_X))
+        estimates = keep(least_determinant(vectors))
     per_pair = placed.join(estimates, "group").drop("group")
     found = measured.join(per_pair, same, "left")
     passed = {x: F.when(~F.col("base_failed"), column) for x, column in _transformed().items()}
