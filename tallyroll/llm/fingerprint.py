@@ -22,6 +22,7 @@ FILTER_BYTES, PROBES = 256, 5
 FILTER_FEATURES = 128  # a fuller filter is closed and the next one opened
 LEVELS = 512  # of entropy
 PART_BYTES = 16 << 20  # of text in a sorted part
+MOST_PARTS = 2048
 _BATCH_BYTES = 1 << 20
 _BITS = FILTER_BYTES * 8
 # n log2 n, in whole steps, so that running sums stay exact.
@@ -252,8 +253,8 @@ def fingerprint_edits(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFram
     last, ties by text hash), after the last the first. NULL is empty. A single
     document is its own next one.
 
-    Documents are laid out in sorted parts of about ``part_bytes`` in one shuffle
-    of their texts. What is gathered is one (doc_id, hash) per part: with these
+    Documents are laid out in sorted parts of about ``part_bytes``, MOST_PARTS at most, in one shuffle
+    of their texts; a part is read as a stream, so its size is free. What is gathered is one (doc_id, hash) per part: with these
     bounds each row knows its part, and the first row of a part also goes to the
     part before, as a guest at its end.
     """
@@ -261,14 +262,14 @@ def fingerprint_edits(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFram
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rank = corpus_rarity(narrow)
     # Descending, NULL last: places count upwards along the order of documents.
-    place = F.struct(F.col("doc_id").isNull().alias("none"), (-F.coalesce(F.col("doc_id"), F.lit(0))).alias("back"), F.xxhash64("text").alias("hash"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not(F.coalesce(F.col("doc_id"), F.lit(0))).alias("back"), F.xxhash64("text").alias("hash"))
     sizes = written(narrow.select(place.alias("place"), (F.octet_length("text") + 64).cast("long").alias("bytes")))
     total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     if not total:
         return docs.sparkSession.createDataFrame([], _EDITED)
     first = sizes.agg(F.min("place")).first()[0]
     bounds = [tuple(first)]
-    parts = int(total // part_bytes) + 1
+    parts = min(int(total // part_bytes) + 1, MOST_PARTS)
     if parts > 1:
         ranged = sizes.repartitionByRange(parts, "place").groupBy(F.spark_partition_id().alias("part"))
         starts = {tuple(r[0]) for r in ranged.agg(F.min("place")).select("min(place)").collect()}
