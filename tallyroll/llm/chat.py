@@ -147,10 +147,10 @@ def parse_transcripts(transcripts: DataFrame) -> DataFrame:
     Returns conv_id, turn, line_no, role, body (the line without its marker) and
     ``exchange``, which numbers the lines of the table so that (conv_id, exchange)
     orders them. Lines are range-sorted and cut into blocks of BLOCK lines, so that
-    a conversation of any length is decoded in pieces: each block first gives
-    the best score between every role before it and every last role, a
-    conversation's blocks are joined by these few numbers, and each block is then
-    decoded between fixed ends. The result is that of one pass over the whole.
+    a conversation of any length is decoded in pieces: for the one that may go on at either end of a block,
+    the block first gives the best score between every role before it and every last role, a
+    conversation's blocks are joined by these few numbers, and each is then
+    decoded between fixed ends; all other conversations of a block are decoded at once. The result is that of one pass over the whole.
 
     NULL texts are one empty line. NULL conv_ids are one conversation; NULL turns
     come first in theirs. Pieces equal in conv_id, turn and text are one piece.
@@ -168,8 +168,10 @@ def parse_transcripts(transcripts: DataFrame) -> DataFrame:
     narrow = numbered.select("block", "exchange", "conv_id", "line_no", "observed", "opens")
 
     def ends(block: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for part, opens in _runs(block.sort_values("exchange")):
+        rows, runs = [], list(_runs(block.sort_values("exchange")))
+        for i, (part, opens) in enumerate(runs):
+            if opens and i < len(runs) - 1:
+                continue  # begins and ends here: decoded at once
             steps = _scores(model, part["observed"].to_numpy(), part["line_no"].to_numpy() == 0, opens)
             rows.append((part["exchange"].iloc[0], best_ways(steps).ravel().tolist()))
         return pd.DataFrame(rows, columns=["exchange", "ways"])
@@ -190,7 +192,8 @@ def parse_transcripts(transcripts: DataFrame) -> DataFrame:
         roles = []
         for part, opens in _runs(ordered):
             steps = _scores(model, part["observed"].to_numpy(), part["line_no"].to_numpy() == 0, opens)
-            roles.append(viterbi(steps, int(part["before"].iloc[0]), int(part["last"].iloc[0])))
+            before, last = part["before"].iloc[0], part["last"].iloc[0]
+            roles.append(viterbi(steps, 0, None) if pd.isna(last) else viterbi(steps, int(before), int(last)))
         return pd.DataFrame({"exchange": ordered["exchange"].to_numpy(), "role_id": np.concatenate(roles)})
 
     roles = marked.groupBy("block").applyInPandas(decoded, "exchange long, role_id int")
@@ -199,7 +202,9 @@ def parse_transcripts(transcripts: DataFrame) -> DataFrame:
 
 
 def render_turns(parsed: DataFrame) -> DataFrame:
-    """Canonical turns of parsed pieces: conv_id, turn, n_turn, role, n_lines and the rendered text.
+    """Canonical turns of parsed pieces: conv_id, turn, piece_hash, n_turn, role, n_lines and the rendered text.
+
+    Pieces of one conversation and turn are told apart by the hash of their text; equal ones are one.
 
     Lines in a row of one piece and one role are one turn; a speaker who changes
     inside a piece begins another. What is gathered is never more than a piece.
@@ -215,4 +220,4 @@ def render_turns(parsed: DataFrame) -> DataFrame:
     )
     body = F.trim(F.array_join(F.transform("lines", lambda x: x["body"]), "\n"))
     opening = F.format_string(OPENING.replace("{role}", "%s"), "role")
-    return turns.select("conv_id", "turn", "n_turn", "role", "n_lines", F.concat(opening, body, F.lit(CLOSING)).alias("text"))
+    return turns.select(*piece, "n_turn", "role", "n_lines", F.concat(opening, body, F.lit(CLOSING)).alias("text"))

@@ -33,11 +33,18 @@ def op1_source_mixing(spark, sf_dir):
 
 @query
 def op2_chat_formatting(spark, sf_dir):
-    """Transcripts as they come: turns whose speaker is known carry a marker."""
+    """Transcripts in which a third of the turns have lost their marker, with the true role beside the one found."""
     talk = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    spoken = F.when(F.col("role").isNotNull(), F.concat(F.initcap("role"), F.lit(": "), F.coalesce("text", F.lit(""))))
-    pieces = talk.select("conv_id", "turn", F.coalesce(spoken, F.col("text")).alias("text"))
-    return chat.render_turns(chat.parse_transcripts(pieces))
+    place = F.concat_ws(" ", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    withheld = F.col("role").isNull() | (F.crc32(place.cast("binary")) % 3 == 0)
+    spoken = F.concat(F.initcap("role"), F.lit(": "), F.coalesce("text", F.lit("")))
+    text = F.when(withheld, F.coalesce("text", F.lit(""))).otherwise(spoken).alias("text")
+    pieces = talk.select("conv_id", "turn", text, F.col("role").alias("true_role"), withheld.alias("withheld"))
+    turns = chat.render_turns(chat.parse_transcripts(pieces))
+    known = pieces.withColumn("piece_hash", F.xxhash64("text")).drop("text").dropDuplicates(["conv_id", "turn", "piece_hash"])
+    known = known.withColumnsRenamed({"conv_id": "_conv", "turn": "_turn", "piece_hash": "_hash"})
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")) & (F.col("piece_hash") == F.col("_hash"))
+    return turns.join(known, same).select("conv_id", "turn", "n_turn", "role", "true_role", "withheld", "n_lines", "text")
 
 
 @query

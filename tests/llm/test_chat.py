@@ -1,7 +1,11 @@
+from itertools import product
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyroll.llm import chat
+from tallyroll.llm.queries import QUERIES
 
 
 def model():
@@ -22,6 +26,31 @@ def test_blocks_give_what_one_pass_gives():
     assert np.concatenate(pieces).tolist() == whole.tolist()
 
 
+def test_the_best_of_all_paths():
+    """Every sequence of roles is scored; none is better than the one found, with open and with fixed ends."""
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 5, 7):
+        seen, begins = rng.integers(0, chat.OBSERVATIONS, n), rng.random(n) < 0.4
+        steps = chat._scores(model(), seen, begins, True)
+        score = lambda path: sum(s[a, b] for s, a, b in zip(steps, (0, *path), path))
+        paths = list(product(range(3), repeat=n))
+        assert score(tuple(chat.viterbi(steps, 0, None))) == pytest.approx(max(map(score, paths)))
+        for last in range(3):
+            wanted = max(score(p) for p in paths if p[-1] == last)
+            assert score(tuple(chat.viterbi(steps, 0, last))) == pytest.approx(wanted)
+            assert chat.best_ways(steps)[0, last] == pytest.approx(wanted)
+
+
+def test_the_query_withholds_markers(spark, sf_dir):
+    rows = QUERIES["op2_chat_formatting"](spark, sf_dir).collect()
+    assert len({(r["conv_id"], r["turn"]) for r in rows}) == spark.read.parquet(f"{sf_dir}/conversations.parquet").count()
+    for withheld, least in ((False, 0.99), (True, 0.8)):
+        some = [r for r in rows if r["withheld"] == withheld]
+        right = np.mean([r["role"] == r["true_role"] for r in some])
+        print("withheld", withheld, len(some), right)
+        assert len(some) > 100 and right >= least
+
+
 def test_roles_are_recovered_where_markers_are_missing(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK", 37)
     talk = spark.read.parquet(f"{sf_dir}/conversations.parquet")
