@@ -228,7 +228,7 @@ def evaluate_isolated(df: DataFrame, rules: Sequence[Rule], engine: str = "prima
             return [(seq, rule.name, rule.kind, rule.column, None, None, True, "error")]
         return [(part[r["seq"]][0], *tuple(r)[1:], engine) for r in found]
 
-    rows = attempt(list(enumerate(rules))) if rules else []
+    rows = sorted(attempt(list(enumerate(rules))), key=lambda r: r[0]) if rules else []
     return df.sparkSession.createDataFrame(rows, StructType([StructField(f.name, f.dataType) for f in schema]))
 
 

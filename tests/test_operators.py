@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
@@ -222,3 +223,26 @@ def test_report_labels_order_and_limit(spark):
     assert reports.report(wide, columns=["id"]).count() == 60_000
     assert reports.report(wide, [reports.metric("id", "SUM")], ["id"]).count() == 60_000
     assert reports.report(wide, columns=["id"], row_limit=55_000).count() == 55_000
+
+
+def test_limits_of_requests(spark):
+    """A named limit wins over the server's, larger or smaller; without either all rows come."""
+    df = spark.range(50).select(F.col("id").cast("string").alias("g"), F.lit(1).alias("n"))
+    grouped = reports.Request(metrics=[reports.metric("n", "SUM")], groupby=["g"])
+    server = reports.RequestSettings(default_limit=7)
+    assert reports.answer(df, grouped, server).count() == 7
+    assert reports.answer(df, replace(grouped, row_limit=20), server).count() == 20
+    assert reports.answer(df, replace(grouped, row_limit=3), server).count() == 3
+    assert reports.answer(df, grouped).count() == 50
+    assert reports.answer(df, reports.Request(columns=["g"], row_limit=0), server).count() == 0
+    with pytest.raises(ValueError):
+        reports.RequestSettings(default_limit=0)
+
+
+def test_previews_have_an_order(spark):
+    df = spark.createDataFrame([(i * 7 % 50,) for i in range(50)], "id int").repartition(9)
+    assert [r.id for r in profiling.preview(df, 4, ["id"]).collect()] == [0, 1, 2, 3]
+    assert profiling.preview(df, 4).count() == 4
+    assert [r.id for r in profiling.distinct_preview(df.union(df), "id").collect()] == [0, 1, 2]
+    # Each task keeps its own first rows; nothing is sorted as a whole.
+    assert "TakeOrderedAndProject" in profiling.preview(df, 4, ["id"])._jdf.queryExecution().executedPlan().toString()

@@ -87,6 +87,26 @@ def test_error_counts_as_passed(spark):
     assert result["success"] is True and result["engine"] == "error" and result["failed_expectations"] == []
 
 
+def test_only_the_rule_that_raises_counts_as_passed(spark):
+    rows = [change("students", class_id="bad", student_id=None), GOOD["students"]]
+    df = frame(spark, "students", *rows)
+    rules = quality.primary_suite("students", class_id="CLASS-[")
+    results = {r.rule: r for r in quality.evaluate_isolated(df, rules).collect()}
+    assert [r.seq for r in results.values()] == list(range(len(rules)))
+    bad = results.pop("class_id_format")
+    assert (bad.engine, bad.success, bad.checked_rows, bad.failed_rows) == ("error", True, None, None)
+    others = [r for r in rules if r.name != "class_id_format"]
+    alone = {r.rule: (r.checked_rows, r.failed_rows, r.success) for r in quality.evaluate(df, others).collect()}
+    assert {n: (r.checked_rows, r.failed_rows, r.success) for n, r in results.items()} == alone
+    assert not results["student_id_not_null"].success
+    whole = quality.run_suite(df, "students", class_id="CLASS-[")
+    assert whole["engine"] == "error" and whole["success"]
+    isolated = quality.run_suite(df, "students", isolate=True, class_id="CLASS-[")
+    assert isolated["engine"] == "primary" and isolated["failed_expectations"] == [quality.NOT_NULL]
+    assert isolated["checked_rows"] == 2
+    assert quality.evaluate_isolated(df, []).collect() == []
+
+
 def test_lazy_verdict(spark):
     raw = frame(spark, "attendance", change("attendance", status="LATE"))
     verdict = quality.passed(raw, quality.primary_suite("attendance"))
