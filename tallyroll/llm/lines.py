@@ -25,8 +25,8 @@ SHORT, LONG, EDGE = 4, 8, 64
 # One edit changes much of a line under TINY characters: such lines also meet in blocks of TINY_ROWS hashes.
 TINY, TINY_ROWS = 32, 2
 # Of two candidates' signatures, of which a byte of each hash is kept, so many of BANDS * ROWS must agree. At an edit
-# similarity of 0.85 an estimated half or more do; of unrelated lines that met in one block, some four.
-AGREE = 7
+# similarity of 0.85 an estimated half or more do; of unrelated lines that met in one block, some five.
+AGREE = 9
 SALT = 64  # members of a key in one block of the last comparison
 
 _BATCH_BYTES = 1 << 17  # of text, so that a batch in numbers of 8 bytes stays in the cache
@@ -322,7 +322,7 @@ def _side(name: str) -> Column:
 
 
 def _alike(a: str, b: str) -> Column:
-    """Whether lengths and signatures of two classes allow the similarity. Signatures of different grams say nothing."""
+    """Whether lengths and signatures of two classes allow the similarity. Signatures of different grams say nothing, and those of tiny lines little."""
     near = F.expr(f"100 * least({a}.n_chars, {b}.n_chars) >= {SIMILARITY} * greatest({a}.n_chars, {b}.n_chars)")
     differ = F.lit(0)
     for s in _SIDE[2:]:
@@ -331,7 +331,8 @@ def _alike(a: str, b: str) -> Column:
             bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
         differ = differ + F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
     same_grams = has_short(F.col(f"{a}.n_chars")) == has_short(F.col(f"{b}.n_chars"))
-    return near & (~same_grams | (BANDS * ROWS - differ >= AGREE))
+    tiny = F.least(f"{a}.n_chars", f"{b}.n_chars") < TINY  # few grams, and quickly compared
+    return near & (tiny | ~same_grams | (BANDS * ROWS - differ >= AGREE))
 
 
 class _Links:
