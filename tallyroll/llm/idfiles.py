@@ -31,6 +31,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tallyroll.llm.common import row_slices, ship, text_or_empty, written
 from tallyroll.llm.tokens import tokenizer_at
@@ -70,9 +71,9 @@ class TextIds:
     """Ids of whole texts under a byte-level BPE file, as bytes of little-endian numbers of ``kind``.
 
     A text of Latin letters, ASCII digits, punctuation and white space is cut into pre-tokens by
-    the tokenizer's own pattern over these classes. The ids of pre-tokens are remembered, and many new ones are
-    encoded as one text with line breaks between them. Any other text is cut at lone spaces,
-    where a token always begins (see ``tokens.stable``); stretches are treated the same way
+    the tokenizer's own pattern over these classes. The ids of pre-tokens are remembered, and new ones are
+    given to the tokenizer's model as its pre-tokenizer spells them, without cutting them again. Any other text is cut
+    at lone spaces, where a token always begins (see ``tokens.stable``); stretches are treated the same way
     if they are that simple and encoded as they are if not.
     """
 
@@ -81,7 +82,7 @@ class TextIds:
     PART = re.compile(
         r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-zÀ-ÖØ-öø-ʯ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
     )
-    TOGETHER = 1024
+    LETTERS = 0x2B0  # the code points of PART lie below
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer_at(path)
@@ -89,8 +90,7 @@ class TextIds:
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special) or r"(?!)")
-        newline = self._encode(["\n"])[0]
-        self.newline = newline[0] if len(newline) == 1 else None
+        self.spelling = self._spelling()
         self.parts, self.stretches = _Memory(_KNOWN_PARTS), _Memory(_KNOWN_UNITS)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -101,21 +101,27 @@ class TextIds:
         found = self.PART.findall(text)
         return found if sum(map(len, found)) == len(text) and not self.special.search(text) else None
 
+    def _spelling(self) -> dict[int, str] | None:
+        """How the model sees each character of simple texts; None if more happens before the model than this."""
+        cutter = self.tokenizer.pre_tokenizer
+        plain = self.tokenizer.normalizer is None and isinstance(cutter, ByteLevel) and not cutter.add_prefix_space
+        if not plain or not cutter.use_regex or self.tokenizer.post_processor is not None:
+            return None
+        speller = ByteLevel(add_prefix_space=False, use_regex=False)
+        return {c: speller.pre_tokenize_str(chr(c))[0][0] for c in range(1, self.LETTERS)}
+
     def _learn_parts(self, parts: set[str]) -> None:
         unknown = self.parts.missing(parts)
-        plain = [p for p in unknown if not p.isspace()] if self.newline is not None else []
-        alone = [p for p in unknown if p.isspace()] if self.newline is not None else unknown
-        groups = [plain[i : i + self.TOGETHER] for i in range(0, len(plain), self.TOGETHER)]
-        for group, ids in zip(groups, self._encode(["\n".join(g) for g in groups])):
-            cuts = np.flatnonzero(ids == self.newline)
-            if len(cuts) != len(group) - 1:
-                alone += group
-                continue
-            width, data = self.kind.itemsize, ids.tobytes()
-            begins = [0, *(width * (cuts + 1)).tolist()]
-            ends = [*(width * cuts).tolist(), len(data)]
-            self.parts.now.update((p, data[a:b]) for p, a, b in zip(group, begins, ends))
-        self.parts.now.update((p, i.tobytes()) for p, i in zip(alone, self._encode(alone)))
+        if self.spelling is None:
+            self.parts.now.update((p, i.tobytes()) for p, i in zip(unknown, self._encode(unknown)))
+            return
+        tokens = self.tokenizer.model.tokenize
+        found, ends = [], [0]
+        for spelled in "\0".join(unknown).translate(self.spelling).split("\0"):
+            found += [t.id for t in tokens(spelled)]
+            ends.append(self.kind.itemsize * len(found))
+        data = np.array(found, self.kind).tobytes()
+        self.parts.now.update((p, data[a:b]) for p, a, b in zip(unknown, ends, ends[1:]))
 
     def _joined(self, cut: Iterable[list[str] | None]) -> list[bytes | None]:
         """Ids from pre-tokens; None where there are none."""
