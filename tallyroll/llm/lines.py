@@ -31,6 +31,7 @@ SALT = 64  # members of a key in one block of the last comparison
 
 _BATCH_BYTES = 1 << 17  # of text, so that a batch in numbers of 8 bytes stays in the cache
 _VALUES = 16_384  # that stay in the processor's cache over all hashes
+_PAIRS = 512  # of lines whose counts stay there too
 _LINES = "doc_id long, text_hash long, place int, class_a long, class_b long, n_chars int, s0 long, s1 long, s2 long, keys array<long>"
 
 
@@ -306,9 +307,31 @@ def similar(x: str, y: str) -> bool:
     return edits_within(" ".join(a[begin : len(a) - end]), " ".join(b[begin : len(b) - end]), most)
 
 
+def far_apart(xs: list[str], ys: list[str]) -> np.ndarray:
+    """Of every two lines, whether their pairs of neighbouring characters differ too much for the edit similarity.
+
+    An edit takes at most two such pairs away and brings two. Pairs are counted in bins, and what shares a bin only
+    hides a difference: no similar lines are far apart.
+    """
+    counts, longer = [], np.zeros(len(xs), np.int64)
+    for texts in (xs, ys):
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        longer = np.maximum(longer, sizes)
+        codes = np.frombuffer(("".join(texts) + " ").encode("utf-32-le"), "<u4")[:-1]
+        line = np.repeat(np.arange(len(texts)), sizes)
+        inside = line[1:] == line[:-1]
+        bins = (codes[:-1] * np.uint32(0x9E3779B1) + codes[1:]) * np.uint32(0x85EBCA6B) >> np.uint32(24)
+        counts.append(np.bincount((line[:-1] * 256 + bins)[inside], minlength=256 * len(texts)))
+    differ = np.abs(counts[0] - counts[1]).reshape(-1, 256).sum(axis=1)
+    return differ > 4 * ((100 - SIMILARITY) * longer // 100)
+
+
 def _similar_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        alike = [similar(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))]
+        alike = []
+        for at in range(0, batch.num_rows, _PAIRS):
+            xs, ys = (batch.column(i).slice(at, _PAIRS).to_pylist() for i in (2, 3))
+            alike += [not far and similar(x, y) for x, y, far in zip(xs, ys, far_apart(xs, ys).tolist())]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
 
@@ -406,9 +429,9 @@ def _norms(docs: DataFrame, classes: DataFrame) -> DataFrame:
     text = text_or_empty()
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
     texts = maybe_among(texts, F.col("_hash"), firsts, F.col("text_hash"))
-    ids = firsts.select("doc_id", "text_hash").distinct()
-    texts = texts.join(ids, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")), "left_semi")
     placed = texts.select("_doc", "_hash", F.posexplode(F.split("_text", "\n")).alias("_place", "_line"))
+    # Only lines that are wanted are shuffled, not the documents around them.
+    placed = maybe_among(placed, F.xxhash64("_hash", "_place"), firsts, F.xxhash64("text_hash", "place"))
     at = F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")) & (F.col("_place") == F.col("place"))
     return written(firsts.join(placed, at).select("class", normalised(F.col("_line")).alias("norm")).dropDuplicates(["class"]))
 

@@ -103,6 +103,40 @@ def test_edit_distance():
         assert lines.similar(a, b) == (edits(a, b) <= 15 * max(len(a), len(b)) // 100), (a, b)
 
 
+def test_lines_that_are_far_apart_are_not_similar():
+    """Counts of character pairs hold back most unlike lines, and none that is similar."""
+    rng = random.Random(8)
+    for of, least in (("abcdefgh ijklmnop", 0.7), ("ab ", 0), ("日本語 é😀xyzwvut", 0.7)):
+        xs, ys = [], []
+        for _ in range(1500):
+            x = "".join(rng.choice(of) for _ in range(rng.choice([1, 2, 5, 20, 80, 200])))
+            y = list(x)
+            for _ in range(rng.randint(0, max(1, len(x) // 3))):
+                at = rng.randrange(len(y) + 1)
+                y[at : at + rng.randint(0, 1)] = [rng.choice(of)] * rng.randint(0, 1)
+            xs.append(x)
+            ys.append("".join(y) or "x")
+        far = lines.far_apart(xs, ys).tolist()
+        assert not any(f and similar(x, y) for f, x, y in zip(far, xs, ys))
+        other = lines.far_apart(xs, ys[1:] + ys[:1])
+        assert other.mean() >= least
+    assert lines.far_apart([""], [""]).tolist() == [False] and lines.far_apart(["", "ab"], ["", "cd"]).tolist() == [False, True]
+
+
+def test_only_wanted_lines_are_shuffled_to_be_compared(spark, docs_of, monkeypatch):
+    """Norms come from lines that are found where they stand; documents are not shuffled whole, as they were before."""
+    rows = [(1, "Own line\nA b, c\n\nD e"), (1, "Own line\nA b, c\n\nD e"), (None, "x Y\nz"), (2, None), (3, "A b, c")]
+    docs = docs_of(rows)
+    hashed = {(r[0], r[1]): r[2] for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()}
+    wanted = [(10, (1, hashed[rows[0]], 1)), (11, (1, hashed[rows[0]], 3)), (12, (None, hashed[rows[2]], 0))]
+    classes = spark.createDataFrame(wanted, "class long, first struct<doc_id: long, text_hash: long, place: int>")
+    plans, keep = [], lines.written
+    monkeypatch.setattr(lines, "written", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    got = sorted(tuple(r) for r in lines._norms(docs, classes).collect())
+    assert got == [(10, "a b c"), (11, "d e"), (12, "x y")]
+    assert "LeftSemi" not in plans[-1] and plans[-1].count("Generate posexplode") == 1
+
+
 def test_normal_lines_and_their_keys_one_by_one():
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdEFgİh日é_-ß²") for _ in range(rng.randint(1, 8)))
