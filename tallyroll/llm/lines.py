@@ -25,11 +25,13 @@ SHORT, LONG, EDGE = 4, 8, 64
 # One edit changes much of a line under TINY characters: such lines also meet in blocks of TINY_ROWS hashes.
 TINY, TINY_ROWS = 32, 2
 # Of two candidates' signatures, of which a byte of each hash is kept, so many of BANDS * ROWS must agree. At an edit
-# similarity of 0.85 an estimated half or more do; of unrelated lines that met in one block, some five.
-AGREE = 9
+# similarity of 0.85 an estimated half or more do if the edits are close together, and some eight if they are spread over
+# all words; of unrelated lines that met in one block, the three of the block and one in 256 of the others.
+AGREE = 5
 SALT = 64  # members of a key in one block of the last comparison
 
 _BATCH_BYTES = 1 << 17  # of text, so that a batch in numbers of 8 bytes stays in the cache
+_BYTE = 24  # the kept byte's place in a hash: the highest bits of a least hash are zeros in any long line
 _VALUES = 16_384  # that stay in the processor's cache over all hashes
 _PAIRS = 512  # of lines whose counts stay there too
 _LINES = "doc_id long, text_hash long, place int, class_a long, class_b long, n_chars int, s0 long, s1 long, s2 long, keys array<long>"
@@ -184,7 +186,7 @@ def line_keys(chars: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
         rows = np.flatnonzero(wanted)
         own_ends = np.cumsum(sizes[rows])
         found = _signatures(chars[np.repeat(wanted, sizes)], own_ends - sizes[rows], own_ends, size)
-        signs[rows] = (found >> np.uint64(56)).astype(np.uint8)
+        signs[rows] = (found >> np.uint64(_BYTE)).astype(np.uint8)
         parts.append((rows, _block_keys(found, size + 1)))
         if size == SHORT:
             tiny = SIMILARITY * sizes[rows] < 100 * TINY
