@@ -16,7 +16,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache, partial
 from itertools import accumulate, chain
 from pathlib import Path
@@ -67,12 +68,27 @@ class _Memory:
         return list(unknown)
 
 
+class _Learnt(dict):
+    """A dict that learns what is not in it when it is asked for, with a generation before it as in ``_Memory``."""
+
+    def __init__(self, learn: Callable[[str], bytes], before: dict[str, bytes]):
+        self.learn, self.before = learn, before
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        if found is None:
+            found = self.learn(key)
+        self[key] = found
+        return found
+
+
 class TextIds:
     """Ids of whole texts under a byte-level BPE file, as bytes of little-endian numbers of ``kind``.
 
     A text of Latin letters, ASCII digits, punctuation and white space is cut into pre-tokens by
-    the tokenizer's own pattern over these classes. The ids of pre-tokens are remembered, and new ones are
-    given to the tokenizer's model as its pre-tokenizer spells them, without cutting them again. Any other text is cut
+    the tokenizer's own pattern over these classes. The ids of pre-tokens are remembered, and a new one is
+    given to the tokenizer's model as its pre-tokenizer spells it, without cutting it again, so that a text's
+    pre-tokens are looked up once, whether they are known or not. Any other text is cut
     at lone spaces, where a token always begins (see ``tokens.stable``); stretches are treated the same way
     if they are that simple and encoded as they are if not.
     """
@@ -91,7 +107,7 @@ class TextIds:
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special) or r"(?!)")
         self.spelling = self._spelling()
-        self.parts, self.stretches = _Memory(_KNOWN_PARTS), _Memory(_KNOWN_UNITS)
+        self.parts, self.stretches = _Learnt(self._learn, {}), _Memory(_KNOWN_UNITS)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -110,35 +126,19 @@ class TextIds:
         speller = ByteLevel(add_prefix_space=False, use_regex=False)
         return {c: speller.pre_tokenize_str(chr(c))[0][0] for c in range(1, self.LETTERS)}
 
-    def _learn_parts(self, parts: set[str]) -> None:
-        unknown = self.parts.missing(parts)
+    def _learn(self, part: str) -> bytes:
+        """Ids of one new pre-token."""
         if self.spelling is None:
-            self.parts.now.update((p, i.tobytes()) for p, i in zip(unknown, self._encode(unknown)))
-            return
-        tokens = self.tokenizer.model.tokenize
-        found, ends = [], [0]
-        for spelled in "\0".join(unknown).translate(self.spelling).split("\0"):
-            found += [t.id for t in tokens(spelled)]
-            ends.append(self.kind.itemsize * len(found))
-        data = np.array(found, self.kind).tobytes()
-        self.parts.now.update((p, data[a:b]) for p, a, b in zip(unknown, ends, ends[1:]))
+            return self._encode([part])[0].tobytes()
+        return array(self.kind.char, [t.id for t in self.tokenizer.model.tokenize(part.translate(self.spelling))]).tobytes()
 
     def _joined(self, cut: Iterable[list[str] | None]) -> list[bytes | None]:
         """Ids from pre-tokens; None where there are none."""
-        out, waiting = [], []
-        get = self.parts.now.get
-        for i, parts in enumerate(cut):
-            found = None if parts is None else list(map(get, parts))
-            if found and None in found:
-                waiting.append((i, parts))
-                found = None
-            out.append(None if found is None else b"".join(found))
-        if waiting:
-            self._learn_parts(set(chain.from_iterable(parts for _, parts in waiting)))
-            known = self.parts.now.__getitem__
-            for i, parts in waiting:
-                out[i] = b"".join(map(known, parts))
-        return out
+        if len(self.parts) > _KNOWN_PARTS:
+            self.parts.before = {}
+            self.parts = _Learnt(self._learn, self.parts)
+        known = self.parts.__getitem__
+        return [None if parts is None else b"".join(map(known, parts)) for parts in cut]
 
     def _stretches(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that are not simple, by their stretches between lone spaces."""

@@ -59,6 +59,24 @@ def test_new_words_are_spelled_for_the_model_without_cutting_them_again(tokenize
     assert [np.frombuffer(i, ids.kind).tolist() for i in ids.ids(texts)] == [tokenizer.encode(t).ids for t in texts]
 
 
+def test_pretokens_are_looked_up_once_also_if_some_are_new(tokenizer):
+    """Texts with new words, which most have, were read three times: for known ids, for the new words, and again for all ids."""
+
+    class Counted(list):
+        reads = 0
+
+        def __iter__(self):
+            self.reads += 1
+            return super().__iter__()
+
+    ids = idfiles.TextIds(PATH)
+    for text in ("one two three, four", "two five, four", "two five, four"):
+        parts = Counted(ids._cut(text))
+        assert np.frombuffer(ids._joined([parts])[0], ids.kind).tolist() == tokenizer.encode(text).ids
+        assert parts.reads == 1
+    assert ids._joined([None, []]) == [None, b""]
+
+
 def test_other_cutters_encode_new_words_whole(tmp_path):
     """A tokenizer that does more before its model than spell bytes gives the ids of the library too."""
     changed = Tokenizer.from_file(PATH)
