@@ -24,10 +24,11 @@ BANDS, ROWS = 8, 3
 SHORT, LONG, EDGE = 4, 8, 64
 # One edit changes much of a line under TINY characters: such lines also meet in blocks of TINY_ROWS hashes.
 TINY, TINY_ROWS = 32, 2
-# Of two candidates' signatures, of which a byte of each hash is kept, so many of BANDS * ROWS must agree. At an edit
+# Of two long candidates' signatures, of which a byte of each hash is kept, so many of BANDS * ROWS must agree. At an edit
 # similarity of 0.85 an estimated half or more do if the edits are close together, and some eight if they are spread over
 # all words; of unrelated lines that met in one block, the three of the block and one in 256 of the others.
 AGREE = 5
+# Of a short line ``pair_bits`` are kept instead, in as many bytes: they may differ by what so many edits can change.
 SALT = 64  # members of a key in one block of the last comparison
 
 _BATCH_BYTES = 1 << 17  # of text, so that a batch in numbers of 8 bytes stays in the cache
@@ -151,6 +152,26 @@ def _signatures(chars: np.ndarray, begins: np.ndarray, ends: np.ndarray, size: i
     return out.T
 
 
+def pair_bits(chars: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """[line, byte]: bits of the pairs of neighbouring characters of lines (``chars`` begin at ``begins``).
+
+    A pair's first, second, ... occurrence in its line each turn one bit over. So two lines differ in no more bits than
+    one has pairs that the other has not, repeats counted; what shares a bit only hides a difference.
+    """
+    line = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(chars)))
+    inside = np.flatnonzero(line[1:] == line[:-1])
+    pairs = mix64((chars[inside].astype(np.uint64) << np.uint64(21)) + chars[inside + 1])
+    found = np.sort((line[inside].astype(np.uint64) << np.uint64(32)) + (pairs >> np.uint64(32)))
+    at = np.arange(len(found))
+    opens = np.diff(found, prepend=np.uint64(2**64 - 1)) != 0
+    number = at - np.maximum.accumulate(np.where(opens, at, 0))
+    line = (found >> np.uint64(32)).astype(np.int64)
+    chosen = mix64((found & np.uint64(2**32 - 1)) + (number.astype(np.uint64) << np.uint64(32))) >> np.uint64(32)
+    bits = 8 * BANDS * ROWS
+    turned = np.bincount(line * bits + (chosen * np.uint64(bits) >> np.uint64(32)).astype(np.int64), minlength=bits * len(begins))
+    return np.packbits((turned % 2).astype(np.uint8).reshape(-1, bits), axis=1)
+
+
 def _block_keys(table: np.ndarray, name: int, rows: int = ROWS) -> np.ndarray:
     """[line, block]: one key for the values of each block of ``rows`` columns."""
     grouped = table.reshape(len(table), table.shape[1] // rows, rows)
@@ -223,11 +244,14 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def found(documents: list[tuple], texts: list[str], before: int) -> pa.RecordBatch:
         chars, ends, text, place = normal_lines(texts)
         keys, offsets, signs = line_keys(chars, ends) if len(ends) else (np.empty(0, np.int64), [0], np.empty((0, 24), np.uint8))
+        sizes = np.diff(ends, prepend=0)
+        short = has_short(sizes)
+        signs[short] = pair_bits(chars[np.repeat(short, sizes)], np.cumsum(sizes[short]) - sizes[short])
         data = memoryview(chars.tobytes())
         cuts = [0, *(4 * ends).tolist()]
         digests = np.frombuffer(b"".join(xxh3_128_digest(data[a:b]) for a, b in zip(cuts, cuts[1:])), "<i8").reshape(-1, 2)
         doc_ids, hashes = (pa.array(c, pa.int64()).take(pa.array(text)) for c in zip(*documents))
-        columns = [doc_ids, hashes, (place + before).astype(np.int32), digests[:, 0], digests[:, 1], np.diff(ends, prepend=0).astype(np.int32)]
+        columns = [doc_ids, hashes, (place + before).astype(np.int32), digests[:, 0], digests[:, 1], sizes.astype(np.int32)]
         columns += [np.ascontiguousarray(c) for c in signs.view(np.int64).T]
         listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys))
         return pa.RecordBatch.from_arrays([*map(pa.array, columns), listed], names=names)
@@ -347,17 +371,23 @@ def _side(name: str) -> Column:
 
 
 def _alike(a: str, b: str) -> Column:
-    """Whether lengths and signatures of two classes allow the similarity. Signatures of different grams say nothing, and those of tiny lines little."""
-    near = F.expr(f"100 * least({a}.n_chars, {b}.n_chars) >= {SIMILARITY} * greatest({a}.n_chars, {b}.n_chars)")
-    differ = F.lit(0)
+    """Whether lengths and signatures of two classes allow the similarity. A short line's signature and a long one's say nothing together.
+
+    Short lines that are similar always pass: an edit takes at most two pairs of neighbouring characters away and brings two.
+    """
+    longer = F.greatest(f"{a}.n_chars", f"{b}.n_chars")
+    near = 100 * F.least(f"{a}.n_chars", f"{b}.n_chars") >= SIMILARITY * longer
+    pairs, hashes = F.lit(0), F.lit(0)
     for s in _SIDE[2:]:
         bits = F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))
+        pairs = pairs + F.bit_count(bits)
         for shift in (4, 2, 1):  # any set bit of a byte reaches its lowest
             bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
-        differ = differ + F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
-    same_grams = has_short(F.col(f"{a}.n_chars")) == has_short(F.col(f"{b}.n_chars"))
-    tiny = F.least(f"{a}.n_chars", f"{b}.n_chars") < TINY  # few grams, and quickly compared
-    return near & (tiny | ~same_grams | (BANDS * ROWS - differ >= AGREE))
+        hashes = hashes + F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+    short = has_short(F.col(f"{a}.n_chars")), has_short(F.col(f"{b}.n_chars"))
+    by_pairs = pairs <= 4 * F.floor((100 - SIMILARITY) * longer / 100)
+    by_hashes = BANDS * ROWS - hashes >= AGREE
+    return near & F.when(short[0] & short[1], by_pairs).otherwise(short[0] | short[1] | by_hashes)
 
 
 class _Links:

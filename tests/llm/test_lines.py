@@ -273,6 +273,49 @@ def test_signatures_of_unlike_lines_do_not_agree():
         assert agree.mean() < 1.5 and (agree >= lines.AGREE).mean() < 0.1
 
 
+def test_short_lines_are_passed_over_only_if_unlike(docs_of):
+    """Pairs of neighbouring characters hold back nearly all unlike short lines before they are paired, and none that is
+    similar; tiny ones were not held back before, whatever they shared."""
+    rng = random.Random(12)
+    words = ["the", "then", "日本", "aaaa", "é😀", *("".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 6))) for _ in range(40))]
+    found = set()
+    while len(found) < 160:
+        line = [rng.choice(words) for _ in range(rng.randrange(3, 13))]
+        for _ in range(rng.randrange(3)):
+            changed = list(" ".join(line))
+            at = rng.randrange(len(changed) + 1)
+            changed[at : at + rng.randint(0, 1)] = [rng.choice("thx")] * rng.randint(0, 1)
+            found.add(norm("".join(changed)))
+        found.add(" ".join(line))
+    found = {x for x in found if lines.has_short(len(x))} | {"a", "ab", "abc"}
+    rows = lines._lines(docs_of([(i, x) for i, x in enumerate(sorted(found))]))
+    at = {i: x for i, x in enumerate(sorted(found))}
+    side = lambda n: rows.select(F.col("doc_id").alias(n), F.struct(F.col("doc_id").alias("class"), "n_chars", "s0", "s1", "s2").alias(f"_{n}"))
+    pairs = side("x").join(side("y"), F.col("x") < F.col("y")).where(lines._alike("_x", "_y"))
+    passed = {(r["x"], r["y"]) for r in pairs.select("x", "y").collect()}
+    like = {p for p in combinations(at, 2) if similar(at[p[0]], at[p[1]])}
+    sizes = [len(x) for x in at.values()]
+    by_length = sum(100 * min(a, b) >= 85 * max(a, b) for a, b in combinations(sizes, 2))
+    print("similar", len(like), "passed", len(passed), "by length alone", by_length)
+    assert like <= passed and len(like) > 50
+    assert len(passed) - len(like) < 0.1 * by_length
+
+
+def test_pair_bits_against_plain_counts():
+    rng = random.Random(13)
+    texts = ["".join(rng.choice("ab é😀") for _ in range(n)) for n in [1, 2, 3, 60, 60, 75, 1, 300] * 4]
+    sizes = np.array([len(x) for x in texts])
+    bits = lambda ts, ns: lines.pair_bits(np.frombuffer("".join(ts).encode("utf-32-le"), "<u4"), np.cumsum(ns) - ns)
+    got = bits(texts, sizes)
+    counts = [Counter(x[i : i + 2] for i in range(len(x) - 1)) for x in texts]
+    for i, (x, n) in enumerate(zip(texts, sizes)):
+        assert (bits([x], np.array([n]))[0] == got[i]).all()  # a line's bits are its own
+        for j in range(i):
+            differ = int(np.unpackbits(got[i] ^ got[j]).sum())
+            apart = (counts[i] - counts[j]).total() + (counts[j] - counts[i]).total()
+            assert differ <= apart and differ % 2 == apart % 2 and (differ > 0) == (apart > 0)
+
+
 def test_short_lines_repeat_too(docs_of):
     long = "全ての権利は留保されています" * 5
     rows = [(1, f"All rights reserved\n\n{long}"), (2, f"own\nall rights reserved.\n\n{long}\n---"), (3, "Own!\n\n---")]
